@@ -8,9 +8,6 @@ derivation in SQL.
 
 from __future__ import annotations
 
-from dataclasses import replace
-from types import MappingProxyType
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from reqlytics.contract import Column as Field, Contract, Labels
@@ -149,7 +146,7 @@ UNMAPPED_MUNICIPALITY = "MUNICIPALITY FRANCE"
 def location_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     nations = table(spark, sf_dir, "nation").select("n_name")
 
-    def kind(location: Column, name: Column, type_: str) -> DataFrame:
+    def kind(location: Column, name: Column, type_: str) -> Column:
         return F.struct(
             location.alias("location_ar"),
             location.alias("location_label_ar"),
@@ -164,17 +161,17 @@ def location_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_nation = nations.select(
         F.inline(
             F.array(
-                kind(n, F.initcap(F.lower(n)), "neighborhood"),
-                kind(municipality, F.initcap(F.lower(municipality)), "municipality"),
+                kind(n, F.lower(n), "neighborhood"),
+                kind(municipality, F.lower(municipality), "municipality"),
             )
         )
     ).where(F.col("location_ar") != UNMAPPED_MUNICIPALITY)
     special = spark.range(1).select(
         F.inline(
             F.array(
-                kind(F.lit("MUNICIPALITY"), F.lit("Municipality"), "generic_municipality"),
-                kind(F.lit("UNSPECIFIED"), F.lit("Unspecified"), "unspecified"),
-                kind(F.lit(LOCATION_MISSING), F.lit("Not in source"), "missing"),
+                kind(F.lit("MUNICIPALITY"), F.lit("municipality"), "generic_municipality"),
+                kind(F.lit("UNSPECIFIED"), F.lit("unspecified"), "unspecified"),
+                kind(F.lit(LOCATION_MISSING), F.lit("not in source"), "missing"),
             )
         )
     )

@@ -7,20 +7,18 @@ a sheet to about a million rows). Row numbers are 1-based and count every line,
 
 from __future__ import annotations
 
-import csv
-from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from reqlytics.contract import Contract
 from reqlytics.functions.text import strip
 from reqlytics.operators.joins import lookup_join
+from reqlytics.sources import workbook
 from reqlytics.sources.warehouse import materialise
-from reqlytics.sources.workbook import sheet_rows
 
-WORKBOOK_BATCH = 20_000
+COMMA_OUTSIDE_QUOTES = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 MAX_HASHED_BYTES = 1 << 30
 
 
@@ -73,10 +71,12 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-@F.pandas_udf("array<string>")
-def _split_header(lines: pd.Series) -> pd.Series:
-    """Header lines only: one row per file."""
-    return lines.map(lambda text: next(csv.reader([text or ""]), []))
+def _header_cells(line: Column) -> Column:
+    """Header texts: commas inside quotes do not separate, doubled quotes are one quote."""
+    parts = F.split(line, COMMA_OUTSIDE_QUOTES, -1)
+    return F.transform(
+        parts, lambda h: F.replace(F.btrim(strip(h), F.lit('"')), F.lit('""'), F.lit('"'))
+    )
 
 
 def _cells(value: Column, width: int) -> Column:
@@ -90,7 +90,7 @@ def read_text_release(spark: SparkSession, path: str, contract: Contract = Contr
     header_number = contract.header_row + 1
     headers = materialise(
         lines.where(F.col("source_row_number") == header_number).select(
-            "source_path", F.transform(_split_header("value"), strip).alias("headers")
+            "source_path", _header_cells(F.col("value")).alias("headers")
         ),
         "headers",
     )
@@ -101,24 +101,14 @@ def read_text_release(spark: SparkSession, path: str, contract: Contract = Contr
     return Release(body, headers)
 
 
-def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            buffer: list[tuple[str, int, list[str | None]]] = []
-            for number, cells in sheet_rows(content):
-                buffer.append((path, number, cells))
-                if len(buffer) >= WORKBOOK_BATCH:
-                    yield pd.DataFrame(buffer, columns=["source_path", "source_row_number", "cells"])
-                    buffer = []
-            if buffer:
-                yield pd.DataFrame(buffer, columns=["source_path", "source_row_number", "cells"])
-
-
 def read_workbook_release(spark: SparkSession, path: str, contract: Contract = Contract()) -> Release:
     """First sheet of every workbook, all cells as text, decoded once and written as rows."""
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").load(path).select(
+        F.col("_metadata.file_path").alias("path"), "content"
+    )
+    cloudpickle.register_pickle_by_value(workbook)  # executors need not have this package installed
     decoded = files.repartition("path").mapInPandas(
-        _decode, "source_path STRING, source_row_number LONG, cells ARRAY<STRING>"
+        workbook.decode, "source_path STRING, source_row_number LONG, cells ARRAY<STRING>"
     )
     rows = materialise(decoded, "workbook_rows")
     header_number = contract.header_row + 1
@@ -185,8 +175,8 @@ def file_fingerprints(spark: SparkSession, path: str, max_bytes: int = MAX_HASHE
     if largest > max_bytes:
         return line_fingerprints(numbered_lines(spark, path))
     return files.select(
-        F.col("path").alias("source_path"),
-        F.substring_index("path", "/", -1).alias("source_file"),
+        F.col("_metadata.file_path").alias("source_path"),
+        F.col("_metadata.file_name").alias("source_file"),
         F.sha2("content", 256).alias("file_sha256"),
         F.col("length").alias("n_bytes"),
     )

@@ -79,5 +79,5 @@ class Warehouse:
 
 def run_query(spark: SparkSession, sql: str, quarters: Sequence[str] = (), **tables: DataFrame) -> DataFrame:
     """Parameterised SQL over named frames: ``{rpt}`` is a table, ``:quarters`` the period list."""
-    listed = F.array(*[F.lit(q) for q in quarters]).cast("array<string>")
+    listed = F.array(*[F.lit(q) for q in quarters])
     return spark.sql(sql, args={"quarters": listed}, **tables)

@@ -9,6 +9,10 @@ from collections.abc import Iterator
 from datetime import datetime, timedelta
 from xml.etree import ElementTree as ET
 
+import pandas as pd
+
+BATCH_ROWS = 20_000
+COLUMNS = ["source_path", "source_row_number", "cells"]
 MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 LINKS = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 EPOCH = datetime(1899, 12, 30)
@@ -90,3 +94,17 @@ def sheet_rows(content: bytes) -> Iterator[tuple[int, list[str | None]]]:
             yield number, cells
             row.clear()
             last = number
+
+
+def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """``(path, content)`` files to rows, a bounded number of rows at a time."""
+    for batch in batches:
+        for path, content in zip(batch["path"], batch["content"]):
+            rows: list[tuple[str, int, list[str | None]]] = []
+            for number, cells in sheet_rows(content):
+                rows.append((path, number, cells))
+                if len(rows) >= BATCH_ROWS:
+                    yield pd.DataFrame(rows, columns=COLUMNS)
+                    rows = []
+            if rows:
+                yield pd.DataFrame(rows, columns=COLUMNS)
