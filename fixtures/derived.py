@@ -140,11 +140,12 @@ def issue_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-UNMAPPED_MUNICIPALITY = "MUNICIPALITY FRANCE"
+UNMAPPED_NATION = 7
 
 
 def location_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nations = table(spark, sf_dir, "nation").select("n_name")
+    """Every place but one nation's municipality, which stays unknown on purpose."""
+    nations = table(spark, sf_dir, "nation").select("n_name", "n_nationkey")
 
     def kind(location: Column, name: Column, type_: str) -> Column:
         return F.struct(
@@ -158,14 +159,11 @@ def location_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     n = F.col("n_name")
     municipality = F.concat(F.lit("MUNICIPALITY "), n)
-    per_nation = nations.select(
-        F.inline(
-            F.array(
-                kind(n, F.lower(n), "neighborhood"),
-                kind(municipality, F.lower(municipality), "municipality"),
-            )
-        )
-    ).where(F.col("location_ar") != UNMAPPED_MUNICIPALITY)
+    places = F.array(
+        kind(n, F.lower(n), "neighborhood"), kind(municipality, F.lower(municipality), "municipality")
+    )
+    known = F.when(F.col("n_nationkey") == UNMAPPED_NATION, F.slice(places, 1, 1)).otherwise(places)
+    per_nation = nations.select(F.inline(known))
     special = spark.range(1).select(
         F.inline(
             F.array(

@@ -32,6 +32,24 @@ def match_key(c: Column) -> Column:
     return F.regexp_replace(strip(c), VARIANT_MARKS, "")
 
 
+def is_header_text(c: Column, headers: list[str]) -> Column:
+    """True where the cleaned cell is one of the header texts; null cells are not.
+
+    The first word is searched in the raw cell before anything is cleaned, so ordinary rows pass
+    the filter at the price of one substring search.
+    """
+    hits = [c.contains(h.split()[0]) for h in headers]
+    maybe = hits[0]
+    for hit in hits[1:]:
+        maybe = maybe | hit
+    return F.coalesce(maybe & squeeze(c).isin(headers), F.lit(False))
+
+
+def match_key(c: Column) -> Column:
+    """The text without the marks in which spelling variants differ."""
+    return F.regexp_replace(strip(c), VARIANT_MARKS, "")
+
+
 def is_layout_b(closure_slot: Column, pattern: str) -> Column:
     """True where the closure slot holds a time band; null slots are not B."""
     return F.coalesce(closure_slot.rlike(pattern), F.lit(False))

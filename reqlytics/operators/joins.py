@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -11,22 +12,27 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 32
 
 
-def fits_broadcast(
-    side: DataFrame,
+def fit_broadcast(
+    sides: Sequence[DataFrame],
     max_rows: int = MAX_BROADCAST_ROWS,
     max_bytes: int = MAX_BROADCAST_BYTES,
-) -> bool:
-    """Measure ``side``: at most ``max_rows`` rows and ``max_bytes`` of text.
+) -> list[bool]:
+    """Measure all ``sides`` in one job: at most ``max_rows`` rows and ``max_bytes`` of text each.
 
     The limit lets a large side stop early, so the check costs no more than the bound itself.
     """
-    width = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 8 for c in side.columns]
-    row = (
-        side.limit(max_rows + 1)
-        .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(sum(width[1:], width[0])), F.lit(0)).alias("b"))
-        .first()
-    )
-    return row["n"] <= max_rows and row["b"] <= max_bytes
+    def measured(index: int, side: DataFrame) -> DataFrame:
+        width = " + ".join(f"coalesce(octet_length(cast(`{c}` AS string)), 0) + 8" for c in side.columns)
+        return side.limit(max_rows + 1).selectExpr(f"{width} AS w").agg(
+            F.lit(index).alias("i"), F.count("w").alias("n"), F.coalesce(F.sum("w"), F.lit(0)).alias("b")
+        )
+
+    sizes = reduce(DataFrame.unionAll, [measured(i, s) for i, s in enumerate(sides)])
+    return [r["n"] <= max_rows and r["b"] <= max_bytes for r in sorted(sizes.collect())]
+
+
+def fits_broadcast(side: DataFrame, **bounds: int) -> bool:
+    return fit_broadcast([side], **bounds)[0]
 
 
 def lookup_join(

@@ -22,9 +22,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from reqlytics.sources.warehouse import materialise
+from reqlytics.sources.warehouse import materialise_counted
 
-MAX_VALUES = 100_000
+MAX_VALUES = 20_000
 BUCKETS_PER_OCTAVE = 4096
 
 
@@ -52,9 +52,10 @@ def aggregate_with_median(
     number of rows behind it. Rows with a null or NaN value count in ``aggs``, not in the median.
     """
     keys = list(keys)
-    counts = materialise(counts, "value_counts")
-    group_sizes = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    widest = group_sizes.agg(F.max("n")).first()[0] or 0
+    counts, widest = materialise_counted(counts, "value_counts")
+    if widest > max_values:  # all groups together; look at the widest one alone
+        group_sizes = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        widest = group_sizes.agg(F.max("n")).first()[0]
     if widest <= max_values:
         usable = F.when(~F.isnan(value), F.col(value))
         return counts.groupBy(*keys).agg(*aggs, F.percentile(usable, 0.5, F.col(weight)).alias(out))

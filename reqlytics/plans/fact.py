@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from reqlytics.functions.keys import date_key, location_key
-from reqlytics.operators.joins import lookup_join
+from reqlytics.operators.joins import fit_broadcast, lookup_join
 from reqlytics.plans.dimensions import UNMAPPED
 
 PUBLISHED = ["completed", "in_progress"]
@@ -40,21 +40,19 @@ def build_report(
     Joins are inner, as the reporting table promises labels; the reconciliation check compares its
     row count with the fact's.
     """
-    spread = F.col("request_sk")
-    wide = lookup_join(fact, dim_date.select("date_key", "date", "year_month"), "date_key", "inner", spread)
-    wide = lookup_join(
-        wide,
-        dim_issue.select(
+    lookups = {
+        "date_key": dim_date.select("date_key", "date", "year_month"),
+        "issue_key": dim_issue.select(
             "issue_key", "issue_code", "issue_ar", "issue_en", "domain_ar", "domain_en"
         ),
-        "issue_key", "inner", spread,
-    )
-    wide = lookup_join(
-        wide,
-        dim_location.select("location_key", "location_label_ar", "location_en", "location_type"),
-        "location_key", "inner", spread,
-    )
-    wide = lookup_join(wide, dim_status.select("status_code"), "status_code", "inner", spread)
+        "location_key": dim_location.select(
+            "location_key", "location_label_ar", "location_en", "location_type"
+        ),
+        "status_code": dim_status.select("status_code"),
+    }
+    wide = fact
+    for (key, lookup), small in zip(lookups.items(), fit_broadcast(list(lookups.values()))):
+        wide = lookup_join(wide, lookup, key, "inner", F.col("request_sk"), small)
     return wide.select(
         "request_sk",
         "source_quarter",

@@ -21,7 +21,6 @@ from reqlytics.functions.labels import (
     pick_language,
     review_rank,
 )
-from reqlytics.operators.joins import lookup_join
 from reqlytics.operators.median import aggregate_with_median
 from reqlytics.operators.periods import judge, with_previous
 
@@ -167,7 +166,7 @@ def locations(
     one_each = coordinates.groupBy(F.col("location_label").alias("location_label_ar")).agg(
         F.max("lat").alias("lat"), F.max("lon").alias("lon")
     )
-    return lookup_join(places, one_each, "location_label_ar")
+    return places.join(one_each, "location_label_ar", "left")
 
 
 def placed_locations(places: DataFrame) -> DataFrame:

@@ -70,8 +70,11 @@ class Medallion:
     def tables(self, *names: str) -> quality.Tables:
         return quality.Tables({n: getattr(self, n) for n in names})
 
-    def run(self) -> list:
-        """Build all layers in order; a failing check stops before the next layer is built."""
+    def run(self, stop: bool = True) -> list:
+        """Build all layers in order; a failing check stops before the next layer is built.
+
+        With ``stop=False`` all layers are built and all check rows returned, whatever they say.
+        """
         done = []
         for checks, names in (
             (quality.seed_checks(), ("issue_map", "location_map")),
@@ -83,5 +86,5 @@ class Medallion:
             ),
         ):
             results = quality.run_checks(self.tables(*names), checks, self.contract)
-            done += quality.gate(results, checks)
+            done += quality.gate(results, checks) if stop else results.collect()
         return done

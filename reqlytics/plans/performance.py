@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from reqlytics.contract import MIN_REQUESTS
 from reqlytics.functions.keys import issue_quarter_key
-from reqlytics.operators.joins import lookup_join
 from reqlytics.operators.median import aggregate_with_median
 from reqlytics.operators.quadrant import with_quadrant
 from reqlytics.plans.fact import PUBLISHED
@@ -58,7 +57,7 @@ def build_issue_performance(
     )
     # an issue the dimension does not know is left out here, before the period limits are taken
     labels = dim_issue.select("issue_key", "issue_ar", "issue_en", "domain_ar", "domain_en")
-    named = lookup_join(cells, labels, "issue_key", "inner")
+    named = cells.join(labels, "issue_key")
     grouped = with_quadrant(
         named,
         period="source_quarter",

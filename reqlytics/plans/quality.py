@@ -12,13 +12,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from reqlytics.contract import Contract
-from reqlytics.functions.keys import quarter_code
 from reqlytics.functions.labels import GROUPS
-from reqlytics.functions.text import squeeze
-from reqlytics.operators.joins import lookup_join
+from reqlytics.functions.text import is_header_text
 
 ERROR, WARN = "error", "warn"
 
@@ -76,35 +74,23 @@ def reference(table: str, column: str, parent: str) -> Check:
 
 
 # ---------------------------------------------------------------- rows that break a rule
-def outside_quarter(silver: DataFrame) -> Column:
-    """The received date lies outside the quarter its file is for; a missing date is not judged."""
-    return quarter_code(F.col("received_date")) != F.col("source_quarter")
-
-
-def band_without_layout(silver: DataFrame) -> Column:
-    """Layout B always has a time band, layout A never."""
-    return (F.col("source_layout") == "B") != F.col("time_band").isNotNull()
-
-
-def negative_hours(silver: DataFrame) -> Column:
-    return ~F.isnan("closure_hours") & (F.col("closure_hours") < 0)
-
-
+# A missing date is not judged by the quarter rule; NaN hours are not negative.
 ROW_RULES = {
-    "closure_hours_negative": negative_hours,
-    "received_outside_quarter": outside_quarter,
-    "time_band_against_layout": band_without_layout,
+    "closure_hours_negative": "NOT isnan(closure_hours) AND closure_hours < 0",
+    "received_outside_quarter": "concat(year(received_date), 'Q', quarter(received_date)) <> source_quarter",
+    "time_band_against_layout": "(source_layout = 'B') <> (time_band IS NOT NULL)",
 }
 
 
 def unmapped(child: DataFrame, column: str, lookup: DataFrame) -> DataFrame:
-    """Distinct values the lookup does not know. Values are counted before they are joined.
+    """Distinct values the lookup does not know. Values are counted before they are joined, so the
+    join sees each value once and no key is hot.
 
     A missing issue type has no match either and is reported; callers drop nulls where a missing
     value is legitimate.
     """
     values = child.groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
-    return lookup_join(values, lookup.select(column).distinct(), column, "left_anti")
+    return values.join(lookup.select(column), column, "left_anti")
 
 
 def orphans(child: DataFrame, column: str, parent: DataFrame) -> DataFrame:
@@ -122,7 +108,7 @@ def unmapped_locations(silver: DataFrame, location_map: DataFrame) -> DataFrame:
 
 def failing_rows(silver: DataFrame, rule: str) -> DataFrame:
     """The requests behind a row rule."""
-    return silver.where(ROW_RULES[rule](silver)).select(
+    return silver.where(ROW_RULES[rule]).select(
         "request_sk", "source_quarter", "source_layout", "time_band", "received_date", "closure_hours"
     )
 
@@ -190,44 +176,66 @@ def all_checks(contract: Contract = Contract()) -> list[Check]:
 
 
 # ---------------------------------------------------------------- running
-def _row_condition(check: Check, frame: DataFrame) -> Column:
-    value = F.col(check.column) if check.column else None
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _row_condition(check: Check) -> str:
     if check.kind == "not_null":
-        return value.isNull()
+        return f"`{check.column}` IS NULL"
     if check.kind == "accepted":
-        return ~value.isin(list(check.values))
-    return ROW_RULES[check.name](frame)
+        return f"`{check.column}` NOT IN ({', '.join(map(_quoted, check.values))})"
+    return ROW_RULES[check.name]
 
 
-def _row_checks(tables: Tables, table: str, checks: list[Check]) -> DataFrame:
+def _row_checks(frame: DataFrame, checks: list[Check]) -> DataFrame:
     """All conditions of one table in one pass: one aggregated row, turned to a row per check."""
-    frame = tables[table]
-    counted = frame.agg(*[F.count_if(_row_condition(c, frame)).alias(c.name) for c in checks])
-    pairs = [F.struct(F.lit(c.name).alias("check_name"), F.col(c.name).alias("failures")) for c in checks]
-    return counted.select(F.inline(F.array(*pairs)))
-
-
-def _unique_check(tables: Tables, check: Check) -> DataFrame:
-    """Number of values that occur more than once. Missing keys are the null check's business."""
-    repeated = (
-        tables[check.table]
-        .where(F.col(check.column).isNotNull())
-        .groupBy(check.column)
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    return repeated.agg(F.count_if(F.col("n") > 1).alias("failures"))
+    counted = frame.selectExpr(*[f"count_if({_row_condition(c)}) AS c{i}" for i, c in enumerate(checks)])
+    pairs = [f"struct({_quoted(c.name)} AS check_name, c{i} AS failures)" for i, c in enumerate(checks)]
+    return counted.selectExpr(f"inline(array({', '.join(pairs)}))")
+
+
+def _one_row_each(frame: DataFrame, checks: list[Check], columns: str) -> DataFrame:
+    """A neutral row per check, so that a check over an empty table still reports."""
+    rows = ", ".join(f"struct({_quoted(c.name)} AS check_name, {columns})" for c in checks)
+    return frame.sparkSession.range(1).selectExpr(f"inline(array({rows}))")
 
 
-def _unmapped_check(tables: Tables, check: Check) -> DataFrame:
-    rows = tables[check.table]
-    if check.column == "location_ar":
-        rows = rows.where(F.col(check.column).isNotNull())
-    return unmapped(rows, check.column, tables[check.parent]).agg(F.count(F.lit(1)).alias("failures"))
+def _unique_checks(tables: Tables, checks: list[Check]) -> DataFrame:
+    """Per check the number of values that occur more than once; one shuffle for all tables.
 
+    Missing keys are the null check's business.
+    """
+    parts = [
+        tables[c.table].selectExpr(f"{_quoted(c.name)} AS check_name", f"CAST(`{c.column}` AS string) AS k")
+        for c in checks
+    ]
+    parts.append(_one_row_each(parts[0], checks, "CAST(NULL AS string) AS k"))
+    uses = reduce(DataFrame.unionAll, parts).groupBy("check_name", "k").agg(F.count(F.lit(1)).alias("n"))
+    return uses.groupBy("check_name").agg(F.expr("count_if(n > 1 AND k IS NOT NULL) AS failures"))
 
-def _reference_check(tables: Tables, check: Check) -> DataFrame:
-    found = orphans(tables[check.table], check.column, tables[check.parent])
-    return found.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("failures"))
+
+def _lookup_checks(tables: Tables, checks: list[Check]) -> DataFrame:
+    """References count child rows without a parent, mapping checks count distinct unknown values."""
+    children, parents = [], []
+    for c in checks:
+        name, rows = _quoted(c.name), tables[c.table]
+        if c.kind == "reference" or c.column == "location_ar":
+            rows = rows.where(f"`{c.column}` IS NOT NULL")
+        weight = "count(1)" if c.kind == "reference" else "1L"
+        children.append(
+            rows.groupBy(c.column)
+            .agg(F.expr(f"{weight} AS w"))
+            .selectExpr(f"{name} AS check_name", f"CAST(`{c.column}` AS string) AS v", "w")
+        )
+        parents.append(
+            tables[c.parent].selectExpr(f"{name} AS check_name", f"CAST(`{c.column}` AS string) AS v")
+        )
+    children.append(_one_row_each(children[0], checks, "CAST(NULL AS string) AS v, 0L AS w"))
+    unknown = reduce(DataFrame.unionAll, children).join(
+        reduce(DataFrame.unionAll, parents), ["check_name", "v"], "left_anti"
+    )
+    return unknown.groupBy("check_name").agg(F.sum("w").alias("failures"))
 
 
 def totals(tables: Tables, check_name: str, contract: Contract = Contract()) -> tuple[DataFrame, DataFrame]:
@@ -240,7 +248,7 @@ def totals(tables: Tables, check_name: str, contract: Contract = Contract()) ->
     if check_name == "rpt_reconciles_with_fact":
         return tables["fact"].agg(count), tables["rpt"].agg(count)
     # the same cleaned text that Silver compares, so both agree on what a header row is
-    header = F.coalesce(squeeze(F.col("issue_type_raw")).isin(contract.issue_headers), F.lit(False))
+    header = is_header_text(F.col("issue_type_raw"), contract.issue_headers)
     return tables["bronze"].agg(F.count_if(~header).alias("n")), tables["silver"].agg(count)
 
 
@@ -256,49 +264,43 @@ def reconcile(expected: DataFrame, actual: DataFrame) -> DataFrame:
 
 
 ROW_KINDS = ("not_null", "accepted", "row_rule")
+LOOKUP_KINDS = ("reference", "unmapped")
 
 
 def run_checks(tables: Tables, checks: Sequence[Check], contract: Contract = Contract()) -> DataFrame:
     """One row per check: name, table, kind, failures, severity, status."""
-    parts: list[DataFrame] = []
-    for table in dict.fromkeys(c.table for c in checks):
-        rowwise = [c for c in checks if c.table == table and c.kind in ROW_KINDS]
-        if rowwise:
-            parts.append(_row_checks(tables, table, rowwise))
-    for c in checks:
-        if c.kind in ROW_KINDS:
-            continue
-        if c.kind == "unique":
-            counted = _unique_check(tables, c)
-        elif c.kind == "reference":
-            counted = _reference_check(tables, c)
-        elif c.kind == "unmapped":
-            counted = _unmapped_check(tables, c)
-        else:
-            counted = reconcile(*totals(tables, c.name, contract))
-        parts.append(counted.select(F.lit(c.name).alias("check_name"), F.col("failures").cast("long")))
-    return judged(reduce(DataFrame.unionByName, parts), checks)
+    def of(kinds: Sequence[str], table: str | None = None) -> list[Check]:
+        return [c for c in checks if c.kind in kinds and table in (None, c.table)]
+
+    parts = [
+        _row_checks(tables[table], of(ROW_KINDS, table))
+        for table in dict.fromkeys(c.table for c in of(ROW_KINDS))
+    ]
+    if of(["unique"]):
+        parts.append(_unique_checks(tables, of(["unique"])))
+    if of(LOOKUP_KINDS):
+        parts.append(_lookup_checks(tables, of(LOOKUP_KINDS)))
+    for c in of(["reconcile"]):
+        compared = reconcile(*totals(tables, c.name, contract))
+        parts.append(compared.selectExpr(f"{_quoted(c.name)} AS check_name", "failures"))
+    return judged(reduce(DataFrame.unionAll, parts), checks)
 
 
 def judged(counted: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """Attach the declaration to ``(check_name, failures)`` and turn counts into a status."""
-    def declared(attribute) -> Column:
-        pairs = [F.lit(v) for c in checks for v in (c.name, attribute(c))]
-        return F.create_map(*pairs)[F.col("check_name")]
-
-    never = (1 << 62)
-    failures = F.coalesce("failures", F.lit(0))
-    stops = declared(lambda c: never if c.error_above is None else c.error_above)
-    return counted.select(
+    never = 1 << 62
+    declared = ", ".join(
+        f"{_quoted(c.name)}, struct({_quoted(c.table)} AS t, {_quoted(c.kind)} AS k, {_quoted(c.severity)} AS s, "
+        f"{c.warn_above}L AS w, {never if c.error_above is None else c.error_above}L AS e)"
+        for c in checks
+    )
+    return counted.selectExpr("check_name", "failures", f"map({declared})[check_name] AS d").selectExpr(
         "check_name",
-        declared(lambda c: c.table).alias("table_name"),
-        declared(lambda c: c.kind).alias("kind"),
-        failures.cast("long").alias("failures"),
-        declared(lambda c: c.severity).alias("severity"),
-        F.when(failures > stops, "error")
-        .when(failures > declared(lambda c: c.warn_above), "warn")
-        .otherwise("pass")
-        .alias("status"),
+        "d.t AS table_name",
+        "d.k AS kind",
+        "CAST(failures AS bigint) AS failures",
+        "d.s AS severity",
+        "CASE WHEN failures > d.e THEN 'error' WHEN failures > d.w THEN 'warn' ELSE 'pass' END AS status",
     )
 
 

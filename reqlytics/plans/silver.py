@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from reqlytics.contract import OUTLIER_HOURS, Contract
 from reqlytics.functions.casts import safe_datetime, safe_double
 from reqlytics.functions.keys import request_key
-from reqlytics.functions.text import is_layout_b, squeeze, strip
+from reqlytics.functions.text import is_header_text, is_layout_b, squeeze, strip
 
 LINEAGE = ["source_file", "source_row_number", "file_sha256", "batch_id", "ingested_at"]
 
@@ -21,7 +21,9 @@ def build_silver(bronze: DataFrame, contract: Contract = Contract()) -> DataFram
     """
     words = contract.labels
     col = F.col
-    cleaned = bronze.select(
+    # null issue types stay: a missing value is reported by the checks, not silently dropped
+    requests = bronze.where(~is_header_text(col("issue_type_raw"), contract.issue_headers))
+    cleaned = requests.select(
         squeeze(col("issue_type_raw")).alias("issue_type_ar"),
         squeeze(col("location_raw")).alias("location_ar"),
         strip(col("status_slot_raw")).alias("_status_slot"),
@@ -31,11 +33,9 @@ def build_silver(bronze: DataFrame, contract: Contract = Contract()) -> DataFram
         "source_quarter",
         *LINEAGE,
     )
-    # null issue types stay: a missing value is reported by the checks, not silently dropped
-    requests = cleaned.where(~F.coalesce(col("issue_type_ar").isin(contract.issue_headers), F.lit(False)))
 
     layout_b = is_layout_b(col("_closure_slot"), contract.layout_b_pattern)
-    routed = requests.withColumn("_is_b", layout_b).select(
+    routed = cleaned.withColumn("_is_b", layout_b).select(
         "*",
         F.when(~col("_is_b"), col("_status_slot")).alias("status_ar"),
         F.when(col("_is_b"), col("_closure_slot")).alias("time_band"),

@@ -10,6 +10,10 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # methods above this size are never compiled by the JVM; wide projections are cut up instead
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # recording a call site for every column expression costs more than building the plan
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 # Default layer -> folder names. A custom name is used exactly as given.
 LAYERS = {"bronze": "bronze", "silver": "silver", "gold": "gold", "seeds": "silver", "manifests": "manifests"}
@@ -30,12 +30,18 @@ _scratch: dict[str, str] = {}
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate result once and read it back: cuts lineage, survives lost executors."""
+    return materialise_counted(df, name)[0]
+
+
+def materialise_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """As :func:`materialise`, with the number of rows, observed while they are written."""
     spark = df.sparkSession
     root = _scratch.setdefault(spark.sparkContext.applicationId, "") or scratch_root(spark)
     _scratch[spark.sparkContext.applicationId] = root
     path = f"{root}/scratch/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), seen.get["n"]
 
 
 @dataclass
