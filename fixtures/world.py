@@ -28,7 +28,7 @@ class World:
 
     def _seed(self, frame: DataFrame, name: str) -> str:
         path = self.warehouse.path("seeds", f"seed_{name}")
-        frame.coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+        frame.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
         return path
 
     @cached_property

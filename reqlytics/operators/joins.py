@@ -7,9 +7,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from reqlytics.sources.warehouse import materialise
+
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 32
+SALTS = 64
+HOT_ROWS = 10_000_000
 
 
 def fit_broadcast(
@@ -43,13 +46,16 @@ def lookup_join(
     spread_by: Column | None = None,
     small: bool | None = None,
     salts: int = SALTS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join a fact-sized frame to a lookup that has one row per key.
 
     A lookup within the broadcast bound is broadcast: the big side is not shuffled at all. Beyond
-    the bound the join is a shuffle on (key, salt): the salt is taken from ``spread_by`` (a column
-    that is near-unique on the big side), so even a key held by a third of all rows, or a null key,
-    is spread over ``salts`` tasks, and the same row keeps its salt when a task is retried.
+    the bound it is a shuffle join in which hot keys are split. Keys with more than ``hot_rows``
+    rows are counted out first; there are at most rows / hot_rows of them, so *they* can be
+    broadcast. Rows with a hot key or no key get a salt from ``spread_by`` (a near-unique column, so
+    a row keeps its salt when a task is retried), and only the lookup rows of hot keys are copied
+    once per salt. All other keys join as they are.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if small is None:
@@ -58,6 +64,21 @@ def lookup_join(
         return big.join(F.broadcast(lookup), keys, how)
     if spread_by is None:
         return big.join(lookup, keys, how)
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+
+    counted = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+    hot = materialise(counted.select(*keys, F.lit(True).alias("_hot")), "hot_keys")
+    no_key = F.isnull(keys[0])
+    for k in keys[1:]:
+        no_key = no_key | F.isnull(k)
+    is_hot = F.coalesce("_hot", F.lit(False))
+    salt = F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
+    salted = big.join(F.broadcast(hot), keys, "left").withColumn(
+        "_salt", F.when(is_hot | no_key, salt).otherwise(0)
+    )
+    last = F.when(is_hot, salts - 1).otherwise(0)
+    copies = (
+        lookup.join(F.broadcast(hot), keys, "left")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), last)))
+        .drop("_hot")
+    )
+    return salted.drop("_hot").join(copies, [*keys, "_salt"], how).drop("_salt")

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from reqlytics.sources.warehouse import materialise
+
 CHUNK_ROWS = 1 << 20
 
 
@@ -33,7 +35,8 @@ def label_runs(
         F.col(label).alias("label"),
     )
     chunk = F.floor(F.col("first_row") / chunk_rows)
-    within = _merge(rows.withColumn("_c", chunk), [*keys, "_c"])
+    # read twice below and far smaller than the rows, so it is written once
+    within = materialise(_merge(rows.withColumn("_c", chunk), [*keys, "_c"]), "runs")
 
     # Neighbouring chunk: only its last label matters. One row per chunk, so the window is bounded.
     edges = within.groupBy(*keys, "_c").agg(

@@ -19,7 +19,7 @@ from reqlytics.sources import workbook
 from reqlytics.sources.warehouse import materialise
 
 COMMA_OUTSIDE_QUOTES = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
-MAX_HASHED_BYTES = 1 << 30
+MAX_HASHED_BYTES = 256 << 20
 
 
 @dataclass(frozen=True)
@@ -30,7 +30,7 @@ class Release:
     headers: DataFrame
 
 
-def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``(source_path, source_row_number, value)`` of text files, whatever the splits.
 
     A file's splits are read by different tasks. Inside a split lines keep their order, so a line's
@@ -168,18 +168,22 @@ def file_fingerprints(spark: SparkSession, path: str, max_bytes: int = MAX_HASHE
     """``(source_path, source_file, file_sha256, n_bytes)``: same content, same fingerprint.
 
     SHA-256 is sequential, so a file is hashed by one task; that is right for files up to
-    ``max_bytes``. Larger text files go through :func:`line_fingerprints`.
+    ``max_bytes`` and for workbooks. Larger text files go through :func:`line_fingerprints`. Which
+    way is taken depends on the file alone, not on the files next to it.
     """
     files = spark.read.format("binaryFile").load(path)
-    largest = files.agg(F.max("length")).first()[0] or 0
-    if largest > max_bytes:
-        return line_fingerprints(numbered_lines(spark, path))
-    return files.select(
-        F.col("_metadata.file_path").alias("source_path"),
+    source = F.col("_metadata.file_path")
+    is_large = (F.col("length") > max_bytes) & ~source.endswith(".xlsx")
+    whole = files.where(~is_large).select(
+        source.alias("source_path"),
         F.col("_metadata.file_name").alias("source_file"),
         F.sha2("content", 256).alias("file_sha256"),
         F.col("length").alias("n_bytes"),
     )
+    large = [r[0] for r in files.where(is_large).select(source).collect()]
+    if not large:
+        return whole
+    return whole.unionByName(line_fingerprints(numbered_lines(spark, large)))
 
 
 def line_fingerprints(lines: DataFrame, fan_in: int = 4096) -> DataFrame:

@@ -81,11 +81,20 @@ def test_salted_join_equals_broadcast_join(spark, how):
     lookup = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3), ("unused", 4)], "k string, v int")
     spread = F.col("id")
     one = joins.lookup_join(big, lookup, "k", how, spread, small=True)
-    two = joins.lookup_join(big, lookup, "k", how, spread, small=False)
+    two = joins.lookup_join(big, lookup, "k", how, spread, small=False, hot_rows=100)
     assert one.columns == two.columns
     assert sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
 
 
+def test_only_hot_keys_are_copied(spark):
+    big = spark.range(1000).selectExpr("id", "if(id % 2 = 0, 0, id) AS k")
+    lookup = spark.range(1000).selectExpr("id AS k", "id * 2 AS v")
+    joined = joins.lookup_join(big, lookup, "k", "inner", F.col("id"), small=False, hot_rows=100)
+    assert joined.count() == 1000 and joined.where("v <> k * 2").count() == 0
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in plan and "_hot" in plan
+
+
 def test_broadcast_needs_a_measured_size(spark):
     frame = spark.range(100).selectExpr("id", "repeat('x', 100) AS t")
     assert joins.fits_broadcast(frame)
