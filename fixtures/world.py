@@ -48,7 +48,9 @@ class World:
 
     @cached_property
     def bronze(self) -> DataFrame:
-        return derived.derived_bronze(self.spark, self.sf_dir)
+        """The derived rows as a Bronze table, one partition per quarter as a load would leave it."""
+        rows = derived.derived_bronze(self.spark, self.sf_dir)
+        return self.warehouse.write(rows, "bronze", "derived_requests", ["source_quarter"])
 
     @cached_property
     def layers(self) -> Medallion:

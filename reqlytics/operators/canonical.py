@@ -17,8 +17,8 @@ def spelling_variants(df: DataFrame, column: str) -> DataFrame:
     """
     spelling = squeeze(F.col(column))
     counted = (
-        df.select(spelling.alias("spelling"))
-        .where(F.col("spelling").isNotNull())
+        df.where(F.col(column).isNotNull())
+        .select(spelling.alias("spelling"))
         .groupBy("spelling")
         .agg(F.count(F.lit(1)).alias("n_rows"))
         .withColumn("match_digest", F.md5(match_key(F.col("spelling")).cast("binary")))
@@ -42,7 +42,8 @@ def truncated_names(df: DataFrame, column: str, at_least: int = 2) -> DataFrame:
 
     An equi-join on the first word: each longer name meets one candidate at most.
     """
-    names = df.select(squeeze(F.col(column)).alias("name")).where("name IS NOT NULL").distinct()
+    filled = df.where(F.col(column).isNotNull())
+    names = filled.select(squeeze(F.col(column)).alias("name")).distinct()
     words = names.withColumn("first_word", F.substring_index("name", " ", 1))
     longer = (
         words.where(F.col("name") != F.col("first_word"))

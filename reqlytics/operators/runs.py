@@ -59,9 +59,8 @@ def label_runs(
     numbered = within.withColumn("_i", F.row_number().over(inside)).join(offsets, [*keys, "_c"])
     return (
         numbered.withColumn("run", (F.col("_i") + F.col("_offset")).cast("long"))
-        .groupBy(*keys, "run")
+        .groupBy(*keys, "run", F.col("label").alias(label))  # one label per run: a key, not a text minimum
         .agg(
-            F.min("label").alias(label),
             F.min("first_row").alias("first_row"),
             F.max("last_row").alias("last_row"),
             F.sum("n_rows").alias("n_rows"),
@@ -78,9 +77,8 @@ def _merge(rows: DataFrame, keys: list[str]) -> DataFrame:
     return (
         rows.withColumn("_start", starts)
         .withColumn("_run", F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-        .groupBy(*keys, "_run")
+        .groupBy(*keys, "_run", "label")
         .agg(
-            F.min("label").alias("label"),
             F.min("first_row").alias("first_row"),
             F.max("last_row").alias("last_row"),
             F.sum("n_rows").alias("n_rows"),
