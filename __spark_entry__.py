@@ -321,13 +321,7 @@ def n4_slot_profile(spark, sf):
 # ---------------------------------------------------------------- the same operators on other tables
 def d1_documents_normalise(spark, sf):
     """Documents whose whole text is the same once spacing and joining marks are ignored."""
-    texts = canonical.spelling_variants(derived.table(spark, sf, "documents"), "text")
-    return texts.groupBy("match_digest").agg(
-        F.sum("n_rows").alias("documents"),
-        F.count(F.lit(1)).alias("spellings"),
-        F.min(F.md5(F.col("canonical").cast("binary"))).alias("canonical_digest"),
-        F.max(F.length("spelling")).alias("longest"),
-    )
+    return canonical.text_groups(derived.table(spark, sf, "documents"), "text")
 
 
 def d2_lineitem_median_matrix(spark, sf):

@@ -37,6 +37,33 @@ def spelling_variants(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+def text_groups(df: DataFrame, column: str) -> DataFrame:
+    """Groups of long texts with the same match key: sizes and the digest of the canonical text.
+
+    Whole texts are cleaned and digested where they are read; only digests and counts are shuffled.
+    The most used spelling is canonical, the smaller digest on a tie.
+    """
+    clean = squeeze(F.col(column))
+    digests = (
+        df.where(F.col(column).isNotNull())
+        .select(clean.alias("text"))
+        .select(
+            F.md5(match_key(F.col("text")).cast("binary")).alias("match_digest"),
+            F.md5(F.col("text").cast("binary")).alias("digest"),
+            F.length("text").alias("length"),
+        )
+    )
+    spellings = digests.groupBy("match_digest", "digest").agg(
+        F.count(F.lit(1)).alias("n"), F.max("length").alias("length")
+    )
+    return spellings.groupBy("match_digest").agg(
+        F.sum("n").alias("documents"),
+        F.count(F.lit(1)).alias("spellings"),
+        F.min(F.struct((-F.col("n")).alias("rank"), F.col("digest")))["digest"].alias("canonical_digest"),
+        F.max("length").alias("longest"),
+    )
+
+
 def truncated_names(df: DataFrame, column: str, at_least: int = 2) -> DataFrame:
     """One-word names that are the first word of several longer names: candidates for a cut name.
 

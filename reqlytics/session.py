@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # a task writes the few quarters it holds side by side instead of sorting all its rows first
+    "spark.sql.maxConcurrentOutputFileWriters": "32",
     # methods above this size are never compiled by the JVM; wide projections are cut up instead
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # recording a call site for every column expression costs more than building the plan

@@ -15,7 +15,7 @@ LAYERS = {"bronze": "bronze", "silver": "silver", "gold": "gold", "seeds": "silv
 
 def scratch_root(spark: SparkSession) -> str:
     """A new folder under the shared directory the cluster names in ``spark.checkpoint.dir``."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")

@@ -1,5 +1,6 @@
 """Operators against brute force on small data."""
 
+import hashlib
 import random
 import statistics
 
@@ -136,5 +137,8 @@ def test_variants_and_truncated_names(spark):
     frame = spark.createDataFrame([(v,) for v in issues], "t string")
     got = {r["spelling"]: (r["canonical"], r["n_spellings"]) for r in canonical.spelling_variants(frame, "t").collect()}
     assert got == {"tank - a": ("tank a", 2), "tank a": ("tank a", 2), "(other)": ("(other)", 1)}
+    groups = {r["documents"]: r for r in canonical.text_groups(frame, "t").collect()}
+    assert set(groups) == {3, 1} and groups[3]["spellings"] == 2
+    assert groups[3]["canonical_digest"] == hashlib.md5(b"tank a").hexdigest()
     names = spark.createDataFrame([(v,) for v in ["king", "king a", "king b", "queen", "queen c", "kingdom d"]], "t string")
     assert [tuple(r) for r in canonical.truncated_names(names, "t").collect()] == [("king", 2)]

@@ -35,12 +35,13 @@ def silver(spark):
         ("إنارة", "س", DONE, "nan", "2026-01-01", AGAIN),
         ("إنارة", "س", DONE, "721", "2026-01-01", AGAIN),
         ("إنارة", "س", "0", "06:00 12:00", "2026-01-01", AGAIN),
+        ("إنارة", "س", None, "5", "2026-01-01", AGAIN),
     ]
     return {r["source_row_number"]: r for r in build_silver(bronze(spark, rows)).collect()}
 
 
 def test_header_rows_go_and_null_issues_stay(silver):
-    assert sorted(silver) == [3, 4, 6, 7, 8, 9, 10, 11]
+    assert sorted(silver) == [3, 4, 6, 7, 8, 9, 10, 11, 12]
     assert silver[6]["issue_type_ar"] is None
 
 
@@ -78,6 +79,7 @@ def test_unknown_status_and_unreadable_date(silver):
 
 
 def test_odd_hours(silver):
+    assert silver[12]["is_closure_kpi_eligible"] is None  # hours, but a status that is not known
     negative, nan, long = silver[8], silver[9], silver[10]
     assert negative["is_closure_kpi_eligible"] is False and negative["closure_basis"] == "status_confirmed"
     assert negative["is_municipality_level"] is False
