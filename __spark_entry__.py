@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T  # n
 
 from fixtures import derived, oracle  # noqa: E402
 from fixtures.world import strict_contract, with_faults, world  # noqa: E402
+from reqlytics.functions.keys import quarter_code  # noqa: E402
 from reqlytics.operators import canonical, median, periods, quadrant  # noqa: E402
 from reqlytics.operators.joins import lookup_join  # noqa: E402
 from reqlytics.plans import (  # noqa: E402
@@ -330,7 +331,7 @@ def d2_lineitem_median_matrix(spark, sf):
     lines = derived.table(spark, sf, "lineitem").select(
         "l_partkey",
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("line"),
-        F.date_format("l_shipdate", "yyyy'Q'q").alias("period"),
+        quarter_code(F.col("l_shipdate")).alias("period"),
         "l_extendedprice",
         (F.col("l_returnflag") == "R").alias("is_returned"),
     )

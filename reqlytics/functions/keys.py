@@ -17,12 +17,13 @@ def location_key(location: Column) -> Column:
 
 
 def date_key(day: Column) -> Column:
-    return F.date_format(day, "yyyyMMdd").cast("long")
+    """``20260131`` by arithmetic: one per request, so no formatter."""
+    return (F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)).cast("long")
 
 
 def quarter_code(day: Column) -> Column:
     """``2026Q1``; null for a null day."""
-    return F.when(day.isNotNull(), F.format_string("%dQ%d", F.year(day), F.quarter(day)))
+    return F.concat(F.year(day).cast("string"), F.lit("Q"), F.quarter(day).cast("string"))
 
 
 def issue_quarter_key(quarter: Column, issue_key: Column) -> Column:

@@ -28,8 +28,8 @@ def squeeze(c: Column) -> Column:
 
 
 def match_key(c: Column) -> Column:
-    """The text without the marks in which spelling variants differ."""
-    return F.regexp_replace(strip(c), VARIANT_MARKS, "")
+    """A cleaned text without the marks in which spelling variants differ."""
+    return F.regexp_replace(c, VARIANT_MARKS, "")
 
 
 def is_header_text(c: Column, headers: list[str]) -> Column:
@@ -46,8 +46,8 @@ def is_header_text(c: Column, headers: list[str]) -> Column:
 
 
 def match_key(c: Column) -> Column:
-    """The text without the marks in which spelling variants differ."""
-    return F.regexp_replace(strip(c), VARIANT_MARKS, "")
+    """A cleaned text without the marks in which spelling variants differ."""
+    return F.regexp_replace(c, VARIANT_MARKS, "")
 
 
 def is_layout_b(closure_slot: Column, pattern: str) -> Column:
