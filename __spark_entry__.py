@@ -27,6 +27,16 @@ from reqlytics.plans import (  # noqa: E402
 from reqlytics.plans import silver as silver_plan  # noqa: E402
 from reqlytics.sources.warehouse import run_query  # noqa: E402
 
+try:  # the training-data operators can be left out of a build
+    from reqlytics.llm.oracle import ORACLE as LLM_ORACLE  # noqa: E402
+    from reqlytics.llm.queries import QUERIES as LLM_QUERIES  # noqa: E402
+except ImportError:
+    LLM_QUERIES, LLM_ORACLE = {}, {}
+try:
+    import corpus_pipeline  # noqa: E402
+except ImportError:
+    corpus_pipeline = None
+
 SMALL_SF = "/root/testdata/sf0.001"
 PERIOD = ["1998Q1", "1998Q2", "1998Q3", "1998Q4"]
 
@@ -472,8 +482,14 @@ def queries() -> dict[str, Query]:
     def finished(query: Query) -> Query:
         return lambda spark, sf_dir: comparable(query(spark, sf_dir))
 
-    return {name: finished(query) for name, query in REGISTERED.items()}
+    registered = {name: finished(query) for name, query in REGISTERED.items()} | LLM_QUERIES
+    if corpus_pipeline is not None:
+        registered["pipeline"] = corpus_pipeline.run
+    return registered
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements()
+    statements = oracle.statements() | LLM_ORACLE
+    if corpus_pipeline is not None and corpus_pipeline.ORACLE_SQL:
+        statements["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return statements
