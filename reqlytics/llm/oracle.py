@@ -57,7 +57,22 @@ SELECT doc.doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS
 FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN seen USING (doc_id)
 """
 
+TOP_K = r"""
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, x.vec_id, list_inner_product(q.v::DOUBLE[], x.v::DOUBLE[])::BIGINT AS score
+  FROM usable q JOIN usable x ON q.vec_id % 50 = 0 AND q.vec_id <> x.vec_id AND len(q.v) = len(x.v)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
 ORACLE = {
     "op1_chat_format": CHAT,
+    "op9_top_k": TOP_K,
     "op5_decontaminate": DECONTAMINATE,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reqlytics.llm import chat, decontaminate, jaccard, tokens
+from reqlytics.llm import chat, decontaminate, jaccard, pivots, tokens, urls
 from reqlytics.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -32,6 +32,15 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best of every vector whose id is divisible by 50."""
+    return pivots.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard.classes(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "class_id", "class_size", "n_links")
@@ -41,5 +50,7 @@ QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op4_bpe_tokens": op4_bpe_tokens,
     "op5_decontaminate": op5_decontaminate,
+    "op8_url_filter": op8_url_filter,
+    "op9_top_k": op9_top_k,
     "op10_jaccard_join": op10_jaccard_join,
 }
