@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reqlytics.llm import chat, decontaminate, jaccard, pivots, tokens, urls
+from reqlytics.llm import chat, decontaminate, jaccard, maxent, pivots, quality, tokens, urls
 from reqlytics.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -32,6 +32,15 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ["doc_id"])
+    return scored.withColumn("accepted", F.col("p_good") >= quality.THRESHOLD)
+
+
+def op7_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.score(table(spark, sf_dir, "documents"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
@@ -50,6 +59,8 @@ QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op4_bpe_tokens": op4_bpe_tokens,
     "op5_decontaminate": op5_decontaminate,
+    "op6_quality": op6_quality,
+    "op7_maxent_lm": op7_maxent_lm,
     "op8_url_filter": op8_url_filter,
     "op9_top_k": op9_top_k,
     "op10_jaccard_join": op10_jaccard_join,
