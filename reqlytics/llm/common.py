@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from reqlytics.sources.warehouse import materialise
 
-__all__ = ["table", "materialise", "mapped", "with_columns", "chosen", "by_hash", "free_name"]
+__all__ = ["table", "materialise", "mapped", "with_columns", "with_replaced", "chosen", "by_hash", "free_name"]
 
 _shipped: set[str] = set()
 
@@ -99,6 +99,19 @@ def with_columns(
     )
 
 
+def with_replaced(
+    df: DataFrame, column: str, compute: Callable[[pa.RecordBatch], dict[str, list | pa.Array]], extra: T.StructType | None = None
+) -> DataFrame:
+    """``df`` with ``column`` taken from what ``compute`` returns as "new"; columns in ``extra`` come after."""
+    names = {c: f"d{i}" for i, c in enumerate(df.columns)}
+    plain = df.select(*[df[f"`{c}`"].alias(n) for c, n in names.items()])
+    added = T.StructType([T.StructField("new", df.schema[column].dataType), *(extra.fields if extra else [])])
+    others = [n for c, n in names.items() if c != column]
+    made = with_columns(plain, {"value": plain[names[column]]}, others, added, compute)
+    kept = [F.col("new" if c == column else n).alias(c) for c, n in names.items()]
+    return made.select(*kept, *[F.col(f.name) for f in (extra.fields if extra else [])])
+
+
 def by_hash(*columns: Column) -> Column:
     """An order that has nothing to do with the rows' places: for bounded samples."""
     return F.xxhash64(*columns)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from reqlytics.llm import scan
-from reqlytics.llm.common import free_name, materialise, with_columns
+from reqlytics.llm.common import free_name, materialise, with_columns, with_replaced
 
 WINDOW = 10
 #: Text of benchmark items in one block, at most (but for one item that alone is longer).
@@ -205,6 +205,8 @@ def clean(docs: DataFrame, items: DataFrame, text: str = "text", block_bytes: in
 
 
 def _clean_pass(docs: DataFrame, windows, text: str) -> DataFrame:
+    gone = free_name(docs, "gone")
+
     def compute(batch: pa.RecordBatch) -> dict:
         column = batch.column(0)
         texts: dict[int, str] = {}
@@ -213,17 +215,13 @@ def _clean_pass(docs: DataFrame, windows, text: str) -> DataFrame:
             for i in np.unique(found.texts[covered]).tolist():
                 texts[found.first + i] = without_spans(column[found.first + i].as_py(), windows.value)
         if not texts:
-            return {"cleaned": column, "gone": [False] * len(column)}
+            return {"new": column, gone: [False] * len(column)}
         given = [texts.get(i, v.as_py() if i not in texts else None) for i, v in enumerate(column)]
-        gone = [i in texts and not len(scan.word_hashes(texts[i].encode(), scan.ALNUM)) for i in range(len(column))]
-        return {"cleaned": pa.array(given, pa.string()), "gone": gone}
-
-    added = T.StructType([T.StructField("cleaned", T.StringType()), T.StructField("gone", T.BooleanType())])
-    others = [c for c in docs.columns if c != text]
-    renamed = docs.select(*[docs[f"`{c}`"].alias(f"d{i}") for i, c in enumerate(others)], docs[f"`{text}`"].alias("t"))
-    made = with_columns(renamed, {"t": renamed["t"]}, renamed.columns[:-1], added, compute)
-    names = {c: f"d{i}" for i, c in enumerate(others)} | {text: "cleaned"}
-    return made.where(~F.col("gone")).select(*[F.col(names[c]).alias(c) for c in docs.columns])
+        empty = [i in texts and not len(scan.word_hashes(texts[i].encode(), scan.ALNUM)) for i in range(len(column))]
+        return {"new": pa.array(given, pa.string()), gone: empty}
+
+    made = with_replaced(docs, text, compute, T.StructType([T.StructField(gone, T.BooleanType())]))
+    return made.where(~F.col(gone)).drop(gone)
 
 
 def digests(docs: DataFrame, items: DataFrame) -> DataFrame:

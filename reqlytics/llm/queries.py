@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reqlytics.llm import chat, decontaminate, jaccard, maxent, pivots, quality, tokens, urls
+from reqlytics.llm import chat, decontaminate, jaccard, licences, maxent, pivots, quality, secrets, tokens, urls
 from reqlytics.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -24,6 +24,16 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(rows.unionByName(more))
 
 
+def op2_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return licences.scan(docs, licences.train(docs))
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secrets.scan(docs, secrets.train(docs), ["doc_id"])
+
+
 def op4_bpe_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.digests(table(spark, sf_dir, "documents"), VOCABULARY)
 
@@ -57,6 +67,8 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_format": op1_chat_format,
+    "op2_licence_scan": op2_licence_scan,
+    "op3_secret_scan": op3_secret_scan,
     "op4_bpe_tokens": op4_bpe_tokens,
     "op5_decontaminate": op5_decontaminate,
     "op6_quality": op6_quality,

@@ -359,7 +359,9 @@ def decode_ids(df: DataFrame, path: str, ids: str = "token_ids", text: str = "de
     return with_columns(df, {"ids": df[f"`{ids}`"]}, df.columns, added, compute).withColumnRenamed("decoded", name)
 
 
-def digests(df: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def digests(
+    df: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), with_ids: bool = False
+) -> DataFrame:
     """Number of tokens, and digests of ids and decoded text: each batch is encoded, and its ids decoded.
 
     The same steps as :func:`encode` and :func:`decode_ids` in one pass, so that ids and decoded texts, which
@@ -369,19 +371,21 @@ def digests(df: DataFrame, path: str, text: str = "text", keep: tuple[str, ...]
 
     def compute(batch: pa.RecordBatch) -> dict:
         coder = encoder(path)
-        counts, ids_digests, text_digests = [], [], []
+        counts, ids_digests, text_digests, coded = [], [], [], []
         for part in portions(batch.column(0), 1 << 20):
             for ids in coder.encode(part):
                 counts.append(len(ids) // 4)
+                if with_ids:
+                    coded.append(ids)
                 ids_digests.append(hashlib.sha256(ids).hexdigest())
                 text_digests.append(hashlib.sha256(decode(coder.vocabulary, ids).encode()).hexdigest())
-        return {"n_tokens": counts, "ids_sha256": ids_digests, "decoded_sha256": text_digests}
-
-    added = T.StructType(
-        [
-            T.StructField("n_tokens", T.LongType()),
-            T.StructField("ids_sha256", T.StringType()),
-            T.StructField("decoded_sha256", T.StringType()),
-        ]
-    )
-    return with_columns(df, {"text": df[f"`{text}`"]}, list(keep), added, compute)
+        return {"n_tokens": counts, "ids_sha256": ids_digests, "decoded_sha256": text_digests, "token_ids": coded}
+
+    added = [
+        T.StructField("n_tokens", T.LongType()),
+        T.StructField("ids_sha256", T.StringType()),
+        T.StructField("decoded_sha256", T.StringType()),
+    ]
+    if with_ids:
+        added.append(T.StructField("token_ids", T.BinaryType()))
+    return with_columns(df, {"text": df[f"`{text}`"]}, list(keep), T.StructType(added), compute)
