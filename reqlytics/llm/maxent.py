@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from reqlytics.llm import scan
 from reqlytics.llm.common import mapped, materialise
 
-CLASSES, MEMBERS = 32, 32
+CLASSES, MEMBERS = 32, 16
 BUCKETS = CLASSES * MEMBERS
 #: Rows of weights: one kind of feature after the other, and one row that is always on.
 BEFORE, SKIP, BOTH, MEMBER_BEFORE = 2048, 2048, 4096, 512
@@ -131,9 +131,9 @@ class Weights:
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
-    z -= z.max(1, keepdims=True)
+    np.clip(z, -60, 60, out=z)  # weights stay far below; no exponential can overflow
     np.exp(z, out=z)
-    z /= z.sum(1, keepdims=True)
+    z /= (z @ np.ones(z.shape[1], np.float32))[:, None]
     return z
 
 
@@ -156,27 +156,29 @@ class Trainer:
             q[at, member] -= 1
             for rows in tokens.rows[:-1, a:b]:
                 self._step(self.w.classes, self.class_power, self.class_used, rows, p)
-            self._step(self.w.classes, self.class_power, self.class_used, np.full(b - a, CLASS_ROWS - 1), p)
-            word = cls > 0
+            always = np.array([CLASS_ROWS - 1]), np.zeros(1, np.int64), np.array([b - a])
+            self._move(self.w.classes, self.class_power, self.class_used, *always, p)
+            q[cls == 0] = 0  # the end has no member to learn
             members = self.w.members.reshape(-1, MEMBERS)
             power, used = self.member_power.reshape(-1), self.member_used.reshape(-1)
-            for rows in (tokens.member_row[a:b], np.full(b - a, MEMBER_ROWS - 1)):
-                self._step(members, power, used, (rows * CLASSES + cls)[word], q[word])
+            for rows in (tokens.member_row[a:b], MEMBER_ROWS - 1):
+                self._step(members, power, used, rows * CLASSES + cls, q)
 
     def _step(self, weights: np.ndarray, power: np.ndarray, used: np.ndarray, rows: np.ndarray, gradient: np.ndarray) -> None:
-        """Move the rows by the mean of their gradients."""
-        if not len(rows):
-            return
-        order = np.argsort(rows, kind="stable")
+        """Move the rows by the gradients of their tokens."""
+        order = np.argsort(rows.astype(np.int16), kind="stable")  # all row numbers are below 2^15: a radix sort
         rows = rows[order]
         firsts = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
         counts = np.diff(np.append(firsts, len(rows)))
-        mean = np.add.reduceat(gradient[order], firsts, axis=0)
-        mean /= np.sqrt(counts)[:, None].astype(np.float32)
-        at = rows[firsts]
-        power[at] += (mean**2).mean(1)
+        self._move(weights, power, used, rows[firsts], firsts, counts, gradient[order])
+
+    def _move(self, weights, power, used, at, firsts, counts, gradient) -> None:
+        step = np.add.reduceat(gradient, firsts, axis=0)
+        step /= np.sqrt(counts)[:, None].astype(np.float32)
+        power[at] += np.einsum("ij,ij->i", step, step) / np.float32(weights.shape[1])
         used[at] += counts
-        weights[at] -= (self.rate * mean) / np.sqrt(power[at])[:, None] / np.float32(math.sqrt(weights.shape[1]))
+        step *= (self.rate / np.sqrt(power[at] * weights.shape[1]))[:, None]
+        weights[at] -= step
 
     def blocks(self) -> Iterator[tuple[int, bytes]]:
         """Used rows, multiplied by their use, and the uses, in numbered blocks."""
