@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from reqlytics.llm.common import mapped, with_columns
+from reqlytics.llm.common import mapped, materialise, with_columns
 
 LEXICON = 50_000
 #: Longest word that is looked for inside a name.
@@ -60,12 +60,18 @@ def rule_of(host: Column, path: Column, rules: dict[str, str] = RULES) -> Column
 
 
 def lexicon(pages: DataFrame, html: str = "html", most: int = LEXICON) -> dict[str, int]:
-    """The most frequent words of the pages' texts, with counts over all pages."""
+    """The most frequent words of the pages' texts, with counts over all pages: all words of some count or
+    more, ``most`` at most. That count is found from the number of words of each count."""
     text = F.regexp_replace(F.coalesce(F.col(f"`{html}`"), F.lit("")), r"(?s)<script.*?</script>|<style.*?</style>|<[^>]*>", " ")
     words = pages.select(F.explode(F.split(F.lower(text), r"[^a-z0-9]+")).alias("word"))
     words = words.where((F.length("word") > 0) & (F.length("word") <= LONGEST))
-    counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    return {r["word"]: r["n"] for r in counted.orderBy(F.desc("n"), "word").limit(most).collect()}
+    counted = materialise(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "lexicon")
+    least, total = None, 0
+    for row in counted.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).limit(most).collect():
+        if total + row["words"] > most:
+            break
+        least, total = row["n"], total + row["words"]
+    return {r["word"]: r["n"] for r in counted.where(F.col("n") >= least).collect()} if total else {}
 
 
 class Segmenter:
