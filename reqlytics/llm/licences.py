@@ -23,7 +23,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from reqlytics.llm.common import by_hash, chosen
+from reqlytics.llm.common import by_hash, chosen, materialise
 
 # Licence families and how their notices read.
 TEMPLATES = {
@@ -218,6 +218,7 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Model:
     width = F.sequence(F.lit(1), F.lit(max(1, len(active))))
     dense = F.transform(width, lambda i: F.array_contains("features", i).cast("double"))
     examples = examples.withColumn("vector", array_to_vector(dense)).withColumn("label", F.col("family").cast("double"))
+    examples = materialise(examples, "notices")  # read again by every step of the regression
     held = F.col("variant") % 4 == 2
     regression = LogisticRegression(
         featuresCol="vector", labelCol="label", family="multinomial", regParam=0.002, maxIter=60, standardization=False
