@@ -16,6 +16,9 @@ from reqlytics.sources.warehouse import materialise
 
 __all__ = ["table", "materialise", "mapped", "with_columns", "with_replaced", "chosen", "by_hash", "free_name"]
 
+#: Rows of a batch that are worked on at once: results of long texts do not pile up.
+ROWS = 2000
+
 _shipped: set[str] = set()
 
 
@@ -55,7 +58,7 @@ def free_name(df: DataFrame, name: str) -> str:
 
 def with_columns(
     df: DataFrame,
-    inputs: dict[str, Column],
+    inputs: dict[str, Column | str],
     keep: list[str],
     added: T.StructType,
     compute: Callable[[pa.RecordBatch], dict[str, list | pa.Array]],
@@ -64,13 +67,20 @@ def with_columns(
     """``keep`` of each row, with columns that ``compute`` makes from a batch of ``inputs``.
 
     One value per row, in order; no row is added or lost, nothing is shuffled. Only the named columns leave
-    the JVM, so other columns of any name do no harm.
+    the JVM, so other columns of any name do no harm. An input that is the name of a kept column is sent once.
     """
     kept = [df[f"`{c}`"].alias(f"k{i}") for i, c in enumerate(keep)]
     fields = [T.StructField(f"k{i}", df.schema[c].dataType) for i, c in enumerate(keep)]
     schema = T.StructType(fields + list(added.fields))
     names = list(inputs)
     width = len(keep)
+    places, sent = [], []
+    for c in inputs.values():
+        if isinstance(c, str) and c in keep:
+            places.append(keep.index(c))
+        else:
+            places.append(width + len(sent))
+            sent.append((df[f"`{c}`"] if isinstance(c, str) else c).alias(f"i{len(sent)}"))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np  # noqa: F401  loaded once per worker
@@ -78,8 +88,8 @@ def with_columns(
         if start is not None:
             start()
         types = None
-        for batch in batches:
-            seen = pa.RecordBatch.from_arrays(batch.columns[width:], names=names)
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
+            seen = pa.RecordBatch.from_arrays([batch.columns[i] for i in places], names=names)
             made = compute(seen)
             if types is None:
                 from pyspark.sql.pandas.types import to_arrow_type
@@ -91,8 +101,10 @@ def with_columns(
             ]
             columns = [c if c.type == kind else c.cast(kind) for c, kind in zip(columns, types)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:width], *columns], names=schema.names)
+            del batch, seen, made, columns
+        pa.default_memory_pool().release_unused()  # a worker lives on; what it no longer needs goes back
 
-    given = df.select(*kept, *[c.alias(f"i{i}") for i, c in enumerate(inputs.values())])
+    given = df.select(*kept, *sent)
     out = mapped(given, rows, schema)
     return out.select(
         *[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], *[F.col(f.name) for f in added.fields]
@@ -107,7 +119,7 @@ def with_replaced(
     plain = df.select(*[df[f"`{c}`"].alias(n) for c, n in names.items()])
     added = T.StructType([T.StructField("new", df.schema[column].dataType), *(extra.fields if extra else [])])
     others = [n for c, n in names.items() if c != column]
-    made = with_columns(plain, {"value": plain[names[column]]}, others, added, compute)
+    made = with_columns(plain, {"value": names[column]}, others, added, compute)
     kept = [F.col("new" if c == column else n).alias(c) for c, n in names.items()]
     return made.select(*kept, *[F.col(f.name) for f in (extra.fields if extra else [])])
 

@@ -162,7 +162,7 @@ def _one_pass(state: DataFrame, windows, keep: list[str], with_text: bool) -> Da
 
     return with_columns(
         state,
-        {"scanned": state["scanned"], "spans": state["spans"], "item_ids": state["item_ids"]},
+        {c: c for c in ("scanned", "spans", "item_ids")},
         [*keep, "scanned"] if with_text else keep,
         T.StructType(added),
         compute,

@@ -129,7 +129,7 @@ def signatures(
     added = [T.StructField("digest", T.BinaryType())]
     if with_keys:
         added += [T.StructField("n_grams", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))]
-    return with_columns(docs, {"text": docs[f"`{text}`"]}, keep, T.StructType(added), compute)
+    return with_columns(docs, {"text": text}, keep, T.StructType(added), compute)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -263,7 +263,7 @@ def sorted_grams(docs: DataFrame, keep: list[str], text: str) -> DataFrame:
         return {"digest": pa.array(digests, pa.binary()), "grams": pa.array(grams, pa.binary())}
 
     added = T.StructType([T.StructField("digest", T.BinaryType()), T.StructField("grams", T.BinaryType())])
-    return with_columns(docs, {"text": docs[f"`{text}`"]}, keep, added, compute)
+    return with_columns(docs, {"text": text}, keep, added, compute)
 
 
 def classes(

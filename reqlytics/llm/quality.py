@@ -89,7 +89,7 @@ def page_features(text: pa.Array, lang: pa.Array, source: pa.Array, n_chars: pa.
         mean = np.bincount(found.texts, weights=found.ends - found.starts, minlength=n) / count
         stop = np.bincount(found.texts, weights=found.data[found.ends - 1] == ord("."), minlength=n) / count
         layout.append(np.stack([np.log1p(found.counts), np.log1p(mean), distinct_share(found), stop], 1))
-    size = np.nan_to_num(n_chars.to_numpy(zero_copy_only=False).astype(np.float64))
+    size = np.nan_to_num(n_chars.fill_null(0.0).to_numpy(zero_copy_only=False))
     known = np.zeros((len(size), SOURCE_BUCKETS + LANG_BUCKETS))
     for at, (l, s) in enumerate(zip(lang.to_pylist(), source.to_pylist())):
         known[at, zlib.crc32(repr(s).encode()) % SOURCE_BUCKETS] = 1
@@ -98,16 +98,18 @@ def page_features(text: pa.Array, lang: pa.Array, source: pa.Array, n_chars: pa.
     return np.concatenate([lines, np.log1p(np.abs(size))[:, None], (size == 0)[:, None], known], 1)
 
 
-def inputs(docs: DataFrame) -> dict[str, Column]:
+def inputs(docs: DataFrame) -> dict[str, Column | str]:
     """The columns the views read; one that is missing reads as null."""
-    def column(name: str, kind: str) -> Column:
+    def column(name: str, kind: str) -> Column | str:
+        if name in docs.columns and docs.schema[name].dataType.simpleString() == kind:
+            return name
         return docs[f"`{name}`"].cast(kind) if name in docs.columns else F.lit(None).cast(kind)
 
     return {
         "text": column("text", "string"),
         "lang": column("lang", "string"),
         "source": column("source", "string"),
-        "n_chars": F.coalesce(column("n_chars", "double"), F.lit(0.0)),
+        "n_chars": column("n_chars", "double"),
     }
 
 
@@ -207,7 +209,7 @@ def score(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None) ->
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without those that the classifier rejects."""
-    names = {c: free_name(docs, f"kept_{c}") for c in docs.columns}
-    plain = docs.select(*[docs[f"`{c}`"] for c in docs.columns], *[docs[f"`{c}`"].alias(n) for c, n in names.items()])
-    scored = score(plain, labels, list(names.values()))
-    return scored.where(F.col("p_good") >= THRESHOLD).select(*[F.col(n).alias(c) for c, n in names.items()])
+    names = {c: free_name(docs, f"kept_{c}") if c.lower() in ("p_text", "p_page", "p_good") else c for c in docs.columns}
+    plain = docs.select(*[docs[f"`{c}`"].alias(n) for c, n in names.items()])
+    scored = score(plain, labels)
+    return scored.where(F.col("p_good") >= THRESHOLD).select(*[F.col(f"`{n}`").alias(c) for c, n in names.items()])

@@ -298,7 +298,7 @@ def scan(docs: DataFrame, model: Model, keep: list[str], text: str = "text") ->
         return {"n_candidates": n_candidates, "n_secrets": [len(s) for s in secrets], "secrets": secrets}
 
     added = [T.StructField("n_candidates", T.LongType()), T.StructField("n_secrets", T.LongType()), T.StructField("secrets", SPANS)]
-    return with_columns(docs, {"text": docs[f"`{text}`"]}, keep, T.StructType(added), compute)
+    return with_columns(docs, {"text": text}, keep, T.StructType(added), compute)
 
 
 def masked(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

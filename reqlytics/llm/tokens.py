@@ -32,7 +32,7 @@ from reqlytics.llm.common import free_name, with_columns
 #: Words laid out in one index at most, in bytes; more are done in further blocks.
 BLOCK_SYMBOLS = 1 << 20
 #: Entries of the memo of encoded pieces; it is emptied beyond that, which costs time only.
-MEMO_PIECES = 1 << 19
+MEMO_PIECES = 1 << 17
 #: Characters of the white space at which texts may be cut before anything else; all is done alike between.
 CONTROL = regex.compile(r"[\x1c-\x1f]")
 SPACE = regex.compile(r"\s+")
@@ -344,7 +344,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "token_ids")
         return {"ids": [x for part in portions(batch.column(0)) for x in coder.encode(part)]}
 
     added = T.StructType([T.StructField("ids", T.BinaryType())])
-    return with_columns(df, {"text": df[f"`{text}`"]}, df.columns, added, compute).withColumnRenamed("ids", name)
+    return with_columns(df, {"text": text}, df.columns, added, compute).withColumnRenamed("ids", name)
 
 
 def decode_ids(df: DataFrame, path: str, ids: str = "token_ids", text: str = "decoded") -> DataFrame:
@@ -356,7 +356,7 @@ def decode_ids(df: DataFrame, path: str, ids: str = "token_ids", text: str = "de
         return {"decoded": [decode(vocabulary, v.as_py() or b"") for v in batch.column(0)]}
 
     added = T.StructType([T.StructField("decoded", T.StringType())])
-    return with_columns(df, {"ids": df[f"`{ids}`"]}, df.columns, added, compute).withColumnRenamed("decoded", name)
+    return with_columns(df, {"ids": ids}, df.columns, added, compute).withColumnRenamed("decoded", name)
 
 
 def digests(
@@ -388,4 +388,4 @@ def digests(
     ]
     if with_ids:
         added.append(T.StructField("token_ids", T.BinaryType()))
-    return with_columns(df, {"text": df[f"`{text}`"]}, list(keep), T.StructType(added), compute)
+    return with_columns(df, {"text": text}, list(keep), T.StructType(added), compute)
