@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from reqlytics.llm import scan
-from reqlytics.llm.common import free_name, mapped, materialise, with_columns
+from reqlytics.llm.common import mapped, materialise, with_columns
 from reqlytics.sources.warehouse import materialise_counted
 
 SHINGLE = 5
@@ -342,19 +342,20 @@ def classes(
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one document of each class: that of the smallest doc_id. Texts without words all stay."""
-    found, _ = materialise_counted(classes(docs, doc_id, text), "classes")
-    name = free_name(docs, "words_digest")
-    signed = signatures(docs, docs.columns, text, 1, 1, with_keys=False).withColumnRenamed("digest", name)
+    found = materialise(classes(docs, doc_id, text), "classes")
+    names = {c: f"d{i}" for i, c in enumerate(docs.columns)}
+    plain = docs.select(*[docs[f"`{c}`"].alias(n) for c, n in names.items()])
+    signed = signatures(plain, plain.columns, names[text], 1, 1, with_keys=False)
     rows = found.where("digest IS NOT NULL").groupBy("doc_id", "digest").agg(
         F.count(F.lit(1)).alias("n"),
         F.first(F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("digest") == F.col("keeper"))).alias("stays"),
     )
-    rows, _ = materialise_counted(rows, "rows")
-    dropped, n = materialise_counted(rows.where("NOT stays").select("doc_id", "digest"), "dropped")
+    rows = materialise(rows, "rows")
+    dropped, n = materialise_counted(rows.where("NOT stays").select("doc_id", F.col("digest").alias("known")), "dropped")
     dropped = F.broadcast(dropped) if n <= BROADCAST_ROWS else dropped
-    same = signed[f"`{doc_id}`"].eqNullSafe(dropped["doc_id"]) & (signed[f"`{name}`"] == dropped["digest"])
+    same = signed[names[doc_id]].eqNullSafe(dropped["doc_id"]) & (signed["digest"] == dropped["known"])
     out = signed.join(dropped, same, "left_anti")
     if rows.where("stays AND n > 1").limit(1).count():  # the keeper itself stands in the table more than once
-        repeated = out.where(F.col(name).isNotNull()).dropDuplicates([doc_id, name])
-        out = repeated.unionByName(out.where(F.col(name).isNull()))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+        repeated = out.where("digest IS NOT NULL").dropDuplicates([names[doc_id], "digest"])
+        out = repeated.unionByName(out.where("digest IS NULL"))
+    return out.select(*[F.col(n).alias(c) for c, n in names.items()])

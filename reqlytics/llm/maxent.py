@@ -44,7 +44,7 @@ CLASS_ROWS, MEMBER_ROWS = BEFORE + SKIP + BOTH + 1, MEMBER_BEFORE + 1
 HEAD = 1 << 18
 #: Training tokens of a shard, about; tokens of one gradient update.
 SHARD_TOKENS, BATCH = 4_000_000, 8192
-RATE = 0.3
+RATE = 0.5
 END, START = scan.mixed(101), scan.mixed(102)
 BLOCK_ROWS = 64
 
@@ -109,6 +109,14 @@ class Weights:
         self.classes = np.zeros((CLASS_ROWS, CLASSES), np.float32) if classes is None else classes
         self.members = np.zeros((MEMBER_ROWS, CLASSES, MEMBERS), np.float32) if members is None else members
 
+    @staticmethod
+    def of_shares(sizes: np.ndarray) -> Weights:
+        """Weights that give every class and member its share of the counts, whatever the context: the start."""
+        out, table = Weights(), sizes.reshape(CLASSES, MEMBERS)
+        out.classes[-1] = np.log(table.sum(1) / table.sum())
+        out.members[-1] = np.log(table / table.sum(1, keepdims=True))
+        return out
+
     def choices(self, tokens: Tokens, a: int, b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Class and member of tokens a..b, and the probabilities of all classes, and members of that class."""
         rows = tokens.rows[:, a:b]
@@ -300,12 +308,12 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: i
     training = docs.where(~F.col("held_out"))
     counts = materialise(count_tokens(training, "text"), "counts")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    weights = Weights()
-    for _ in range(rounds if total["n"] else 0):
-        weights = train_round(training, "text", weights, max(1, math.ceil(total["n"] / SHARD_TOKENS)))
     inside = np.ones(BUCKETS)
     for r in counts.groupBy("bucket").agg((F.sum("n") + F.count(F.lit(1)) + 1).alias("size")).collect():
         inside[r["bucket"]] = r["size"]
+    weights = Weights.of_shares(inside)
+    for _ in range(rounds if total["n"] else 0):
+        weights = train_round(training, "text", weights, max(1, math.ceil(total["n"] / SHARD_TOKENS)))
     least, words, numbers = head_of(counts)
     model = spark.sparkContext.broadcast((weights, np.log10(inside), words, np.log10(numbers + 1)))
     rows = scored_rows(docs, model)

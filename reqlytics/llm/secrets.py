@@ -236,7 +236,7 @@ def grow(x: np.ndarray, y: np.ndarray, trees: int = TREES, seed: int = 7) -> For
             if open_.any():
                 k = int(np.argmin(np.where(open_, impurity, np.inf)))
                 if best is None or impurity[k] < best[0]:
-                    best = (impurity[k], int(f), (values[k] + values[k + 1]) / 2)
+                    best = (impurity[k], int(f), values[k])
         if best is None:
             return own
         below = x[rows, best[1]] <= best[2]

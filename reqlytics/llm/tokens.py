@@ -341,10 +341,9 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "token_ids")
 
     def compute(batch: pa.RecordBatch) -> dict:
         coder = encoder(path)
-        return {"ids": [x for part in portions(batch.column(0)) for x in coder.encode(part)]}
+        return {name: [x for part in portions(batch.column(0)) for x in coder.encode(part)]}
 
-    added = T.StructType([T.StructField("ids", T.BinaryType())])
-    return with_columns(df, {"text": text}, df.columns, added, compute).withColumnRenamed("ids", name)
+    return with_columns(df, {"text": text}, df.columns, T.StructType([T.StructField(name, T.BinaryType())]), compute)
 
 
 def decode_ids(df: DataFrame, path: str, ids: str = "token_ids", text: str = "decoded") -> DataFrame:
@@ -353,10 +352,9 @@ def decode_ids(df: DataFrame, path: str, ids: str = "token_ids", text: str = "de
 
     def compute(batch: pa.RecordBatch) -> dict:
         vocabulary = encoder(path).vocabulary
-        return {"decoded": [decode(vocabulary, v.as_py() or b"") for v in batch.column(0)]}
+        return {name: [decode(vocabulary, v.as_py() or b"") for v in batch.column(0)]}
 
-    added = T.StructType([T.StructField("decoded", T.StringType())])
-    return with_columns(df, {"ids": ids}, df.columns, added, compute).withColumnRenamed("decoded", name)
+    return with_columns(df, {"ids": ids}, df.columns, T.StructType([T.StructField(name, T.StringType())]), compute)
 
 
 def digests(

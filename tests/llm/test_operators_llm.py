@@ -1,0 +1,290 @@
+"""Nulls, empty and very long texts, ties, repeated rows, empty tables, clashing column names."""
+
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from reqlytics.llm import chat, decontaminate, jaccard, licences, maxent, pivots, quality, secrets, tokens, urls
+
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+SF = "/root/testdata/sf0.001"
+
+
+# ------------------------------------------------------------------------------------------------ 1
+def conversations(spark, rows):
+    return spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+
+
+def test_chat_examples(spark):
+    rows = [(1, 2, "user", "b"), (1, 0, "user", "a"), (1, 1, "assistant", "<|im_end|>\\x <\\|"), (1, 3, "assistant", None), (1, 4, "user", "z")]
+    found = sorted(chat.expand(conversations(spark, rows)).collect(), key=lambda r: r.example)
+    assert [(r.example, r.loss_chars > 0, r.is_rest) for r in found] == [(1, True, False), (2, False, False), (3, False, True)]
+    for a, b in zip(found, found[1:]):
+        assert b.formatted.startswith(a.formatted)  # all turns before as context
+    first = found[0]
+    reply = first.formatted[first.loss_start : first.loss_start + first.loss_chars]
+    assert "<|" not in reply and first.formatted.endswith(reply + chat.END + "\n")
+    back = spark.createDataFrame([(found[-1].formatted,)], "f string").select(chat.parsed_turns(F.col("f")).alias("t")).first().t
+    assert [(t.role, t.text) for t in back] == [("user", "a"), ("assistant", "<|im_end|>\\x <\\|"), ("user", "b"), ("assistant", ""), ("user", "z")]
+
+
+def test_chat_odd_rows(spark):
+    rows = [(None, None, None, None), (None, 1, "assistant", "x"), (2, 0, "a\nb\\n", "t"), (2, 0, "a\nb\\n", "t"), (3, 5, "assistant", "y" * 200_000)]
+    got = {r.conv_id: r for r in chat.digests(conversations(spark, rows)).collect()}
+    assert (got[None].n_turns, got[None].loss_chars) == (2, 1)
+    assert (got[2].n_turns, got[2].loss_chars) == (2, 0)
+    assert got[3].loss_chars == 200_000
+    import hashlib
+
+    assert got[2].turns_sha256 == hashlib.sha256(b"a\nb\\n\nt\n" * 2).hexdigest()
+    assert chat.digests(conversations(spark, [])).count() == 0
+
+
+# ------------------------------------------------------------------------------------------------ 2
+def test_licences_odd_rows(spark, odd, clashing, empty):
+    model = licences.train(odd)
+    got = licences.scan(clashing, model).collect()
+    assert len(got) == 15 and [r.licences for r in got if r.doc_id == 10] == ["MIT"]
+    assert all(r.licences == "" for r in got if r.doc_id != 10)
+    assert licences.scan(empty, model).count() == 0
+
+
+def test_licences_unknown_and_unconfirmed(spark, odd):
+    model = licences.train(odd)
+    said = ["Licensed under the Harbour Public Notice, version 7.", "THIS WORK IS LICENSED!! UNDER THE GNU GENERAL PUBLIC LICENSE, VERSION 3."]
+    df = spark.createDataFrame(list(enumerate(said)), "doc_id int, text string")
+    assert [r.licences for r in licences.scan(df, model).orderBy("doc_id").collect()] == ["", "GPL-3.0"]
+
+
+# ------------------------------------------------------------------------------------------------ 3
+def test_secrets_odd_rows(odd, clashing, empty):
+    model = secrets.train(odd)
+    got = {r.doc_id: r for r in secrets.scan(clashing, model, ["doc_id"]).collect()}
+    assert got[9].n_secrets == 1 and got[10].n_secrets == 0 and got[10].n_candidates == 1 and got[4].n_candidates == 0
+    hidden = secrets.masked(clashing, model)
+    assert hidden.columns == clashing.columns and hidden.count() == 15
+    assert hidden.where("doc_id = 9").first().text == 'call it token = "[secret]" here'
+    assert hidden.where("masked = 'x' AND doc_id = 4 AND text IS NULL").count() == 1
+    assert secrets.scan(empty, secrets.train(empty), ["doc_id"]).count() == 0
+
+
+def test_forest_on_kept_out_findings():
+    rows = secrets.findings(["the lazy dog was here and there with other words of usual prose"], 3000, seed=1)
+    prose = secrets.Prose.of(["the lazy dog was here and there with other words of usual prose"])
+    x = np.array([secrets.features(t, a, b, prose) for t, a, b, _ in rows])
+    y = np.array([float(s) for *_, s in rows])
+    forest = secrets.grow(x[:2000], y[:2000])
+    assert ((forest.scores(x[2000:]) >= 0.5) == y[2000:]).mean() > 0.95
+
+
+# ------------------------------------------------------------------------------------------------ 4
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(VOCABULARY), tokens.encoder(VOCABULARY)
+
+
+def same(library, given):
+    theirs, ours = library
+    for text, ids in zip(given, ours.encode(given)):
+        want = theirs.encode(text or "", add_special_tokens=False).ids
+        assert np.frombuffer(ids, "<u4").tolist() == want, repr(text)[:80]
+        assert tokens.decode(ours.vocabulary, ids) == theirs.decode(want, skip_special_tokens=False)
+
+
+def test_every_character(library):
+    same(library, [chr(c) + "a" for c in range(1, 0x30000) if not 0xD800 <= c < 0xE000])
+
+
+def test_odd_texts(library):
+    same(library, ["", None, "aaaa aaaaaaa " + "a" * 999, "ha" * 500, "a\x1cb\x1f\x85c\xa0d", "ΣΑΣ İ ß", "<|endoftext|>x<|startoftext|> <|ENDOFTEXT|>",
+                   "e\u0301 \u0301", "don't 's 'sup !!'ll", "x" * 50_000, "".join(map(chr, range(1, 0x3000))), "\u0897\u0301a\u0898\u0316"])
+
+
+def test_random_texts(library):
+    r = random.Random(3)
+    letters = "aabbcdethéßñ'.,!<|>12 \n\t한\u0301\u0898Σ"
+    same(library, ["".join(r.choices(letters, k=r.randint(0, 60))) for _ in range(3000)])
+
+
+def test_encode_and_decode_frames(library, clashing, empty):
+    coded = tokens.encode(clashing, VOCABULARY)
+    assert coded.columns == [*clashing.columns, "_token_ids"] and coded.count() == 15
+    back = {r.doc_id: r.decoded for r in tokens.decode_ids(coded.select("doc_id", "_token_ids"), VOCABULARY, "_token_ids").collect()}
+    assert back[8].startswith("one</w> two</w>") and back[4] == "" and back[5] == ""
+    assert tokens.digests(empty, VOCABULARY).count() == 0
+
+
+# ------------------------------------------------------------------------------------------------ 5
+ITEMS = [(1, "One two three four five six seven eight nine TEN eleven"), (2, "four, five"), (None, "six seven"), (3, None), (4, "..."), (2, "four five")]
+
+
+def test_spans_and_items(spark, odd, clashing, empty):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    for block_bytes in (decontaminate.BLOCK_BYTES, 40):  # one block; several passes
+        got = {r.doc_id: r for r in decontaminate.scan_documents(clashing, items, keep=["doc_id"], block_bytes=block_bytes).collect()}
+        assert (got[8].n_words, got[8].n_hit, got[8].item_ids) == (15, 11, ["1", "2", "null"])
+        assert [(s.start, s.end) for s in got[7].spans] == [(1, 12)]
+        assert got[4].n_words == got[5].n_words == got[11].n_words == 0 and got[6].n_hit == 0
+    cleaned = decontaminate.clean(clashing, items)
+    assert cleaned.columns == clashing.columns and cleaned.count() == 15
+    assert cleaned.where("doc_id = 7").first().text.split() == ["So", "twelve", "thirteen", "fourteen", "fifteen", "ends"]
+    everything = spark.createDataFrame([(1, "twelve thirteen fourteen fifteen"), *ITEMS], "item_id long, text string")
+    assert decontaminate.clean(odd, everything).where("doc_id = 8").count() == 0  # no word left
+    assert decontaminate.scan_documents(odd, items.limit(0), keep=["doc_id"]).where("n_hit > 0").count() == 0
+    assert decontaminate.digests(empty, items).count() == 0
+
+
+def test_words_that_meet_are_looked_at_again():
+    windows = decontaminate.Windows([1, 2], ["b c", "a d"])
+    assert decontaminate.without_spans("a b c d x", windows).split() == ["x"]
+
+
+# ------------------------------------------------------------------------------------------------ 6
+def test_quality_odd_rows(spark, odd, clashing, empty):
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (2, 1, 0), (4, None, 0), (None, 1, 1), (9, 0, 0)], "doc_id long, quality int, toxic int")
+    got = quality.score(clashing, labels, ["doc_id"]).collect()
+    assert len(got) == 15 and all(0 <= r.p_good <= 1 for r in got)
+    kept = quality.accepted(clashing, labels)
+    assert kept.columns == clashing.columns
+    assert quality.score(odd, labels.limit(0), ["doc_id"]).where("p_good = 1").count() == 15
+    assert quality.accepted(empty, labels).count() == 0
+    assert quality.score(odd.select("doc_id", "text"), labels, ["doc_id"]).count() == 15
+
+
+# ------------------------------------------------------------------------------------------------ 7
+def test_language_model_odd_rows(spark, odd, clashing, empty):
+    got = maxent.score(clashing).collect()
+    assert len(got) == 15 and all(r.n_tokens >= 1 for r in got)
+    assert {r.n_tokens for r in got if r.doc_id in (4, 5)} == {1}
+    assert maxent.score(empty).count() == 0
+    held = next(i for i in range(100) if __import__("zlib").crc32(str(i).encode()) % 7 == 2)
+    alone = spark.createDataFrame([(held, "a b")], "doc_id long, text string")
+    r = maxent.score(alone).first()
+    assert (r.train_tokens, r.n_known, r.base_score) == (0, 0, 0.0) and r.score < 0
+
+
+def test_rare_words_are_joined(spark):
+    """With a head of two words the counts of all others come by the join; the scores are the same."""
+    docs = spark.createDataFrame([(i, f"the of the w{i % 5} x{i}") for i in range(40)], "doc_id long, text string")
+    whole = {r.doc_id: r for r in maxent.score(docs).collect()}
+    most, maxent.HEAD = maxent.HEAD, 2
+    try:
+        joined = {r.doc_id: r for r in maxent.score(docs).collect()}
+    finally:
+        maxent.HEAD = most
+    for k, r in whole.items():
+        assert r.n_known == joined[k].n_known and r.base_score == pytest.approx(joined[k].base_score)
+
+
+# ------------------------------------------------------------------------------------------------ 8
+def test_urls_odd_rows(spark):
+    given = [(1, "http://A.Example.NET/en/x?q", None), (2, None, "<p>free bets"), (3, "no scheme", ""), (4, "x://example.net", None), (5, "https://notnet/", "a"),
+             (6, "http://b.org/fr/1", "t"), (6, "http://b.org/fr/1", "t"), (None, "http://" + "a" * 100_000 + ".com/de/", None), (8, "a://b://net/", None)]
+    pages = spark.createDataFrame([(*g, "x", "y") for g in given], "page_id long, url string, html string, odds string, words string")
+    got = {r.page_id: r for r in urls.judge(pages).collect()}
+    assert (got[1].host, got[1].path, got[1].rule, got[1].verdict) == ("a.example.net", "/en/x", "example.net/en/", "allow")
+    assert (got[2].host, got[2].path, got[2].rule) == ("", "", None) and got[3].host == ""
+    assert (got[4].path, got[4].rule) == ("", None) and got[5].rule is None and got[6].verdict == "allow"
+    assert (got[8].host, got[8].path) == ("b:", "//net/")
+    assert urls.judge(pages).count() == len(given) and urls.judge(pages.limit(0)).count() == 0
+
+
+def test_segmentation():
+    s = urls.Segmenter({"free": 10, "bets": 8, "be": 9, "casino": 5, "win": 7})
+    assert s.split("freebetscasinowin") == ["free", "bets", "casino", "win"] and s.split("") == []
+
+
+# ------------------------------------------------------------------------------------------------ 9
+def brute(rows, k=5):
+    usable = [(i, [int(np.floor(256.0 * x)) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    out = []
+    for q, v in usable:
+        if q % 50 == 0:
+            scores = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in usable if i != q and len(w) == len(v))
+            out += [(q, n, i, -s) for n, (s, i) in enumerate(scores[:k], start=1)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("block", [2048, 3])
+def test_top_k_equals_brute_force(spark, block):
+    r = np.random.default_rng(5)
+    vectors = [(i, [float(np.float32(x)) for x in r.normal(0, 0.3, 8)]) for i in range(700)]
+    vectors += [(1000 + i, vectors[7][1]) for i in range(30)]  # ties
+    vectors += [(2000, None), (2001, [1.0, None] * 4), (2002, [float("nan")] * 8), (2003, [float("inf")] * 8), (2050, [0.5] * 3), (2051, [0.25] * 3), (2100, []), (None, [1.0] * 8)]
+    vectors += [(3000, [1e5] * 8)]
+    df = spark.createDataFrame([(i, v, "x") for i, v in vectors], "vec_id long, embedding array<float>, d string")
+    got = pivots.top_k(df, F.col("vec_id") % 50 == 0, block_queries=block)
+    assert sorted(map(tuple, got.collect())) == brute(vectors)
+    assert pivots.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+
+
+# ------------------------------------------------------------------------------------------------ 10
+def test_classes_odd_rows(spark, odd, clashing, empty):
+    got = sorted(((r.doc_id, r.class_id, r.class_size, r.n_links) for r in jaccard.classes(clashing).collect()), key=repr)
+    assert got.count((2, 1, 4, 3)) == 2 and (1, 1, 4, 3) in got and (3, 1, 4, 3) in got
+    assert (4, 4, 1, 0) in got and (5, 5, 1, 0) in got and (11, 11, 1, 0) in got and len(got) == 15
+    kept = jaccard.one_of_each(clashing)
+    assert kept.columns == clashing.columns and kept.count() == 11  # 7 and 8 share most words too
+    assert sorted(r.doc_id for r in kept.where("doc_id < 4").collect()) == [1]
+    again = spark.createDataFrame([(1, "a b c d e f g")] * 3 + [(2, "a b c d e f g")], "doc_id long, text string")
+    assert jaccard.one_of_each(again).collect() == [(1, "a b c d e f g")]
+    assert jaccard.classes(empty).count() == 0 and jaccard.one_of_each(empty).count() == 0
+
+
+def test_forest_depth():
+    assert jaccard.expected_recall(20, jaccard.prefix_length(20, 10, 0.8, 0.995), 0.8) >= 0.995
+    assert jaccard.prefix_length(20, 10, 0.8, 0.0) == 10
+
+
+def test_blocks_lose_no_link(spark, monkeypatch):
+    """A large group of near copies, cut into many blocks, has the links of one that is not cut."""
+    base = [f"w{i}" for i in range(60)]
+    docs = [(n, " ".join([*base[: n % 7], f"v{n}", *base[n % 7 :]])) for n in range(60)] + [(100 + n, " ".join(base)) for n in range(40)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    whole = sorted(map(tuple, jaccard.classes(df).select("doc_id", "class_id", "n_links").collect()))
+    monkeypatch.setattr(jaccard, "BLOCK_TEXTS", 7)
+    cut = sorted(map(tuple, jaccard.classes(df).select("doc_id", "class_id", "n_links").collect()))
+    assert cut == whole and {r[1] for r in whole} == {0} and whole[0][2] > 40
+
+
+def test_components(spark):
+    links = [(i, i + 1) for i in range(0, 40)] + [(100, 103), (103, 101), (7, 7)]
+    got = dict(jaccard.components(spark.createDataFrame(links, "a long, b long")).collect())
+    assert {got[i] for i in range(41)} == {0} and got[101] == got[103] == got[100] == 100
+
+
+# ------------------------------------------------------------------------------------------------ pipeline
+def test_stages_on_odd_rows(spark, clashing, empty):
+    for docs in (clashing, empty):
+        wanted = docs.columns
+        for name, stage in corpus_pipeline.STAGES:
+            docs = stage(spark, docs, SF).cache()
+            docs.count()
+            if name != corpus_pipeline.STAGES[-1][0]:
+                assert docs.columns == wanted, name
+        assert docs.columns[:2] == ["doc_id", "n_tokens"]
+
+
+def test_stages_on_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    n = docs.count()
+    stages = dict(corpus_pipeline.STAGES)
+    items = spark.read.parquet(f"{SF}/benchmark.parquet")
+    clean = stages["benchmark decontamination"](spark, docs, SF).cache()
+    assert decontaminate.digests(docs, items).where("contaminated").count() > 0
+    assert decontaminate.digests(clean, items).where("contaminated").count() == 0
+    before = decontaminate.digests(docs, items).where("NOT contaminated").select("doc_id")
+    untouched = docs.join(before, "doc_id").select("doc_id", "text")
+    assert untouched.exceptAll(clean.select("doc_id", "text")).count() == 0
+    masked = stages["secret scans"](spark, docs, SF)
+    assert masked.count() == n and masked.where("text RLIKE '(?i)token = \"[0-9a-f]{40}'").count() == 0
+    single = jaccard.one_of_each(docs)
+    classes = jaccard.classes(docs).select("class_id").distinct()
+    assert sorted(r[0] for r in single.select("doc_id").collect()) == sorted(r[0] for r in classes.collect())
+    whole = corpus_pipeline.run(spark, SF)
+    assert 0 < whole.count() < n
