@@ -380,6 +380,19 @@ def a11_global_median_by_rank(spark, sf):
     )
 
 
+def a10_median_narrow_range(spark, sf):
+    """Rank selection where all values lie close together, far from zero."""
+    counts = (
+        derived.table(spark, sf, "lineitem")
+        .select("l_returnflag", (F.lit(1e9) + F.col("l_orderkey") + F.col("l_extendedprice") / 1e6).alias("v"))
+        .groupBy("l_returnflag", "v")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    return median.aggregate_with_median(
+        counts, ["l_returnflag"], "v", "n", [F.sum("n").alias("line_items")], "median_value", max_values=0
+    )
+
+
 def d3_events_period_delta(spark, sf):
     """Weekly volume and median per event type against the week before."""
     weekly = (
@@ -469,6 +482,7 @@ REGISTERED: dict[str, Query] = {
     "d2_lineitem_median_matrix": d2_lineitem_median_matrix,
     "d3_events_period_delta": d3_events_period_delta,
     "a10_median_by_rank": a10_median_by_rank,
+    "a10_median_narrow_range": a10_median_narrow_range,
     "a11_global_median_by_rank": a11_global_median_by_rank,
 }
 

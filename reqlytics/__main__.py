@@ -10,16 +10,16 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
 
 from reqlytics.contract import MIN_REQUESTS, Contract, load_contract
 from reqlytics.plans.load import ReleaseRejected, load_release, read_bronze
 from reqlytics.plans.medallion import Medallion
 from reqlytics.plans.quality import QualityGate
-from reqlytics.plans.validation import failing_files, validate_files
+from reqlytics.plans.validation import failing_files, failure_message, validate_files
 from reqlytics.session import SETTINGS
 from reqlytics.sources.seeds import read_issue_map, read_location_map
-from reqlytics.sources.warehouse import Warehouse, materialise
+from reqlytics.sources.warehouse import Warehouse, discard_scratch, materialise
 
 
 def parser() -> argparse.ArgumentParser:
@@ -27,7 +27,8 @@ def parser() -> argparse.ArgumentParser:
     top.add_argument("--contract", help="contract document (JSON or YAML)")
     jobs = top.add_subparsers(dest="job", required=True)
     validate = jobs.add_parser("validate")
-    validate.add_argument("path")
+    validate.add_argument("path", nargs="+")
+    validate.add_argument("--report", help="folder to write the whole report to, as JSON")
     load = jobs.add_parser("load")
     load.add_argument("path")
     load.add_argument("quarter")
@@ -44,7 +45,8 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
     """Exit code 0, or 1 where a file or a layer was rejected."""
     chosen = parser().parse_args(arguments)
     contract = load_contract(chosen.contract) if chosen.contract else Contract()
-    if spark is None:
+    spark_is_own = spark is None
+    if spark_is_own:
         builder = SparkSession.builder.appName(f"reqlytics {chosen.job}")
         for name, value in SETTINGS.items():
             builder = builder.config(name, value)
@@ -52,11 +54,20 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
     try:
         if chosen.job == "validate":
             report = materialise(validate_files(spark, chosen.path, contract), "validation")
-            report.show(100, truncate=False)
-            return 1 if failing_files(report) else 0
+            if chosen.report:
+                report.write.mode("overwrite").json(chosen.report)
+            failed = failing_files(report)
+            report.orderBy(F.col("status") != "fail", "source_path").show(100, truncate=False)
+            print(f"{report.count()} file(s)" + (f", all in {chosen.report}" if chosen.report else ""))
+            if failed.isEmpty():
+                return 0
+            print(failure_message(failed), file=sys.stderr)
+            return 1
         warehouse = Warehouse(spark, chosen.root)
         if chosen.job == "load":
-            load_release(warehouse, chosen.path, chosen.quarter, contract).show(100, truncate=False)
+            manifest = load_release(warehouse, chosen.path, chosen.quarter, contract)
+            manifest.show(100, truncate=False)
+            print(f"{manifest.count()} file(s), all in {warehouse.path('manifests', 'loads')}")
             return 0
         medallion = Medallion(
             warehouse,
@@ -72,6 +83,9 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
     except (ReleaseRejected, QualityGate) as problem:
         print(problem, file=sys.stderr)
         return 1
+    finally:
+        if spark_is_own:
+            discard_scratch(spark)
 
 
 if __name__ == "__main__":

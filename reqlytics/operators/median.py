@@ -22,6 +22,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from reqlytics.operators.joins import lookup_join
 from reqlytics.sources.warehouse import materialise_counted
 
 MAX_VALUES = 20_000
@@ -71,6 +72,12 @@ def log_bucket(v: Column, per_octave: int = BUCKETS_PER_OCTAVE) -> Column:
     return F.signum(v) * F.floor(F.log2(F.abs(v) + 1.0) * per_octave).cast("double")
 
 
+def even_bucket(v: Column, low: Column, high: Column, parts: int = BUCKETS_PER_OCTAVE) -> Column:
+    """Which of ``parts`` equal steps from ``low`` to ``high`` a value is in; the ends are never in the same."""
+    share = F.try_divide(v * 0.5 - low * 0.5, high * 0.5 - low * 0.5)
+    return F.coalesce(F.floor(share * parts).cast("double"), F.when(v >= high, float(parts)).otherwise(0.0))
+
+
 def select_by_rank(
     counts: DataFrame,
     keys: Sequence[str],
@@ -78,45 +85,71 @@ def select_by_rank(
     weight: str,
     out: str,
     per_octave: int = BUCKETS_PER_OCTAVE,
+    most: int = MAX_VALUES,
 ) -> DataFrame:
-    """Median per key of a (keys, value, weight) table, by counting ranks."""
+    """Median per key of a (keys, value, weight) table, by counting ranks.
+
+    A histogram shows which bucket holds the middle ranks of a group; that bucket is cut into equal steps
+    between its least and largest value, and so on, until no group has more than ``most`` values left. Only
+    those are ordered, so a task never holds more of a group, whatever its range. Where the two middle ranks
+    fall into different buckets they are the largest value of one and the least of the other.
+    """
     keys = list(keys)
+    named = keys or ["_k"]
     counts = counts.where(F.col(value).isNotNull() & ~F.isnan(value)).select(
-        *keys, F.col(value).alias("_v"), F.col(weight).alias("_n")
-    )
-    histogram = counts.groupBy(*keys, log_bucket(F.col("_v"), per_octave).alias("_b")).agg(
-        F.sum("_n").alias("_bn"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
+        *(keys or [F.lit(0).alias("_k")]), F.col(value).cast("double").alias("_v"), F.col(weight).alias("_n")
     )
-    group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    group = Window.partitionBy(*named)
     running = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     total = F.sum("_bn").over(group)
-    ranked = histogram.select(
-        "*",
-        (F.sum("_bn").over(running) - F.col("_bn")).alias("_before"),
-        F.floor((total + 1) / 2).cast("long").alias("_r0"),
-        F.floor((total + 2) / 2).cast("long").alias("_r1"),
-    )
-    around = (F.col("_before") + F.col("_bn") >= F.col("_r0")) & (F.col("_before") < F.col("_r1"))
-    bounds = ranked.where(around).groupBy(*keys).agg(
-        F.min("_lo").alias("_lo"),
-        F.max("_hi").alias("_hi"),
-        F.min("_before").alias("_skip"),
-        F.min("_r0").alias("_r0"),
-        F.min("_r1").alias("_r1"),
-    )
-    if keys:
-        near = counts.join(bounds, keys).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-    else:
-        one = bounds.select(F.struct("_lo", "_hi", "_skip", "_r0", "_r1").alias("s")).scalar()
-        near = (
-            counts.withColumn("s", one)
-            .where(F.col("_v").between(F.col("s._lo"), F.col("s._hi")))
-            .select("_v", "_n", "s._skip", "s._r0", "s._r1")
+    bounds = None
+    while True:
+        if bounds is None:
+            rows = counts.select(
+                "*", log_bucket(F.col("_v"), per_octave).alias("_b"), F.lit(0).cast("long").alias("_skip"),
+                F.lit(None).cast("long").alias("_r0"), F.lit(None).cast("long").alias("_r1"),
+            )
+        else:
+            rows = _inside(counts, bounds.where(F.col("_size") > most), named).withColumn("_b", even_bucket(F.col("_v"), F.col("_lo"), F.col("_hi")))
+        histogram = rows.groupBy(*named, "_b").agg(
+            F.sum("_n").alias("_bn"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_size"),
+            F.min("_skip").alias("_skip"), F.min("_r0").alias("_r0"), F.min("_r1").alias("_r1"),
+        )
+        ranked = histogram.select(
+            *named, "_lo", "_hi", "_bn", "_size",
+            (F.col("_skip") + F.sum("_bn").over(running) - F.col("_bn")).alias("_before"),
+            F.coalesce("_r0", F.floor((total + 1) / 2).cast("long")).alias("_r0"),
+            F.coalesce("_r1", F.floor((total + 2) / 2).cast("long")).alias("_r1"),
         )
+        around = (F.col("_before") + F.col("_bn") >= F.col("_r0")) & (F.col("_before") < F.col("_r1"))
+        apart = F.count(F.lit(1)) > 1
+        found = ranked.where(around).groupBy(*named).agg(
+            F.when(apart, F.min("_hi")).otherwise(F.min("_lo")).alias("_lo"),
+            F.when(apart, F.max("_lo")).otherwise(F.max("_hi")).alias("_hi"),
+            F.min("_before").alias("_skip"),
+            F.min("_r0").alias("_r0"),
+            F.min("_r1").alias("_r1"),
+            F.when(apart, F.lit(0)).otherwise(F.sum("_size")).alias("_size"),
+        )
+        # groups that are done keep their bounds
+        if bounds is not None:
+            found = found.unionByName(bounds.where(F.col("_size") <= most))
+        bounds = materialise_counted(found, "median_bounds")[0]
+        if (bounds.agg(F.max("_size")).first()[0] or 0) <= most:
+            break
+    known = bounds.where("_size = 0").select(*named, (F.col("_lo") * 0.5 + F.col("_hi") * 0.5).alias(out))
+    near = _inside(counts, bounds.where("_size > 0"), named)
     upto = F.sum("_n").over(group.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     middle = near.select("*", (F.col("_skip") + upto).alias("_end")).where(
         (F.col("_end") >= F.col("_r0")) & (F.col("_end") - F.col("_n") < F.col("_r1"))
     )
     low, high = F.min("_v"), F.max("_v")
-    answer = F.when(low == high, low).otherwise(low + (high - low) * 0.5)
-    return (middle.groupBy(*keys) if keys else middle).agg(answer.alias(out))
+    answer = F.when(low == high, low).otherwise(low * 0.5 + high * 0.5)
+    medians = middle.groupBy(*named).agg(answer.alias(out)).unionByName(known)
+    return medians if keys else medians.select(out)
+
+
+def _inside(counts: DataFrame, bounds: DataFrame, named: list[str]) -> DataFrame:
+    """Values within the bounds of their group; groups without bounds drop out."""
+    joined = lookup_join(counts, bounds, named, "inner", F.col("_v"))
+    return joined.where(F.col("_v").between(F.col("_lo"), F.col("_hi")))

@@ -5,11 +5,11 @@ from __future__ import annotations
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F, types as T
 
 from reqlytics.contract import Contract
 from reqlytics.operators.joins import lookup_join
-from reqlytics.plans.validation import failing_files, validate_release
+from reqlytics.plans.validation import failing_files, failure_message, validate_release
 from reqlytics.sources.releases import file_fingerprints, map_headers, mapped_rows, read_release
 from reqlytics.sources.warehouse import Warehouse, materialise
 
@@ -57,19 +57,19 @@ def build_bronze(
 
 
 def load_release(
-    warehouse: Warehouse, path: str, quarter: str | Column, contract: Contract = Contract()
+    warehouse: Warehouse, path: str | list[str], quarter: str | Column, contract: Contract = Contract()
 ) -> DataFrame:
     """Validate, load and record release files; returns the manifest rows of this load.
 
     One failing file stops the load before anything is written. Loading a quarter again replaces
-    that quarter's partition only.
+    that quarter's partition only; a release without any rows empties it.
     """
     spark = warehouse.spark
     release = read_release(spark, path, contract)
     report = materialise(validate_release(release, contract), "validation")
     failed = failing_files(report)
-    if failed:
-        raise ReleaseRejected(f"validation failed, nothing was loaded: {failed}")
+    if not failed.isEmpty():
+        raise ReleaseRejected(f"nothing was loaded; {failure_message(failed)}")
 
     period = quarter if isinstance(quarter, Column) else F.lit(quarter)
     batch_id, now = uuid.uuid4().hex[:12], datetime.now(timezone.utc)
@@ -81,19 +81,27 @@ def load_release(
     warehouse.write_partitions(
         bronze.observe(written, F.count(F.lit(1)).alias("n")), "bronze", BRONZE_TABLE, "source_quarter"
     )
-    stored = read_bronze(warehouse, contract).where(F.col("batch_id") == batch_id)
+    # only the quarters of this load are read back: the filter prunes all other partitions
+    touched = [r[0] for r in fingerprints.select(period.cast("string")).distinct().collect()]
+    stored = read_bronze(warehouse, contract).where(F.col("source_quarter").isin(touched) & (F.col("batch_id") == batch_id))
     per_file = materialise(
         stored.groupBy("source_file", "file_sha256", "source_quarter").agg(F.count(F.lit(1)).alias("rows_loaded")),
         "loaded",
     )
+    filled = {r[0] for r in per_file.select("source_quarter").distinct().collect()}
+    for empty in sorted(q for q in touched if q is not None and q not in filled):
+        warehouse.drop_partition("bronze", BRONZE_TABLE, "source_quarter", empty)
     in_files = report.agg(F.coalesce(F.sum("rows_in_file"), F.lit(0))).first()[0]
     loaded = per_file.agg(F.coalesce(F.sum("rows_loaded"), F.lit(0))).first()[0]
     if not written.get["n"] == loaded == in_files:
         raise ReleaseRejected(f"rows in files {in_files}, written {written.get['n']}, stored {loaded}")
 
+    # files of the same name, content and quarter cannot be told apart in Bronze: each has its equal share
+    alike = Window.partitionBy("source_file", "file_sha256", "source_quarter")
     manifest = (
         report.join(fingerprints, "source_path")
         .withColumn("source_quarter", period)
+        .withColumn("alike", F.count(F.lit(1)).over(alike))
         .join(per_file, ["source_file", "file_sha256", "source_quarter"], "left")
         .select(
             F.lit(batch_id).alias("batch_id"),
@@ -103,7 +111,7 @@ def load_release(
             F.lit(now.isoformat()).alias("ingested_at"),
             F.lit(warehouse.path("bronze", BRONZE_TABLE)).alias("table_id"),
             "rows_in_file",
-            F.coalesce("rows_loaded", F.lit(0)).alias("rows_loaded"),
+            F.expr("coalesce(rows_loaded, 0) div alike").alias("rows_loaded"),
             F.struct(
                 "status",
                 "embedded_header_rows",

@@ -90,14 +90,13 @@ class Medallion:
             (quality.seed_checks(), ("issue_map", "location_map"), ()),
             (quality.silver_checks(self.contract), ("bronze", "silver", "issue_map", "location_map"), ("silver",)),
             (quality.dimension_checks(), dims, dims),
-            (quality.gold_checks(), ("fact", *dims, "mart", "rpt"), ("fact",)),
+            (quality.fact_checks(), ("fact", *dims), ("fact",)),
+            (quality.mart_checks(), ("fact", "mart", "rpt"), ("rpt", "mart")),
         )
         rows = []
         for checks, names, first in stages:
             if first:
                 self.build(*first)
-            if "rpt" in names:
-                self.build("rpt", "mart")
             results = quality.run_checks(self.tables(*names), checks, self.contract)
             rows += quality.gate(results, checks) if stop else results.collect()
         return rows

@@ -78,7 +78,9 @@ def reference(table: str, column: str, parent: str) -> Check:
 ROW_RULES = {
     "closure_hours_negative": "NOT isnan(closure_hours) AND closure_hours < 0",
     "received_outside_quarter": "concat(year(received_date), 'Q', quarter(received_date)) <> source_quarter",
-    "time_band_against_layout": "(source_layout = 'B') <> (time_band IS NOT NULL)",
+    "time_band_against_layout": (
+        "(source_layout = 'B' AND time_band IS NULL) OR (source_layout = 'A' AND time_band IS NOT NULL)"
+    ),
 }
 
 
@@ -155,13 +157,18 @@ def dimension_checks() -> list[Check]:
     ]
 
 
-def gold_checks() -> list[Check]:
+def fact_checks() -> list[Check]:
     return [
         *key("fact", "request_sk"),
         reference("fact", "date_key", "dim_date"),
         reference("fact", "issue_key", "dim_issue"),
         reference("fact", "location_key", "dim_location"),
         reference("fact", "status_code", "dim_status"),
+    ]
+
+
+def mart_checks() -> list[Check]:
+    return [
         *key("mart", "issue_quarter_key"),
         not_null("mart", "resolution_group"),
         accepted("mart", "resolution_group", GROUPS),
@@ -171,6 +178,10 @@ def gold_checks() -> list[Check]:
     ]
 
 
+def gold_checks() -> list[Check]:
+    return [*fact_checks(), *mart_checks()]
+
+
 def all_checks(contract: Contract = Contract()) -> list[Check]:
     return [*seed_checks(), *silver_checks(contract), *dimension_checks(), *gold_checks()]
 

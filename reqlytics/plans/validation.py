@@ -13,23 +13,35 @@ EXAMPLES = 5
 
 
 def structure_report(release: Release, contract: Contract = Contract()) -> DataFrame:
-    """Header-only checks per file; ``errors`` is empty where rows may be looked at."""
-    placed = map_headers(release.headers, contract)
-    count = F.size("headers")
+    """Checks of every input file's shape; ``errors`` is empty where rows may be looked at.
+
+    A file that cannot be read in full is an error whatever the contract says: one without a header row, and
+    one whose quoted cells hold line ends, which would be cut into several rows.
+    """
+    # one row per file
+    placed = release.shapes.join(map_headers(release.headers, contract), "source_path", "left")
+    has_header = F.col("headers").isNotNull()
+    count = F.greatest(F.size("headers"), F.coalesce("widest", F.lit(0)))
+    unreadable = F.array_compact(
+        F.array(
+            F.when(~has_header, F.format_string("no header row: it is expected in row %d", F.lit(contract.header_row + 1))),
+            F.when(F.col("open_line").isNotNull(), F.format_string("a quoted cell goes on after the end of line %d", F.col("open_line"))),
+        )
+    )
     problems = [
         (
             "column_count_mismatch",
-            count != contract.expected_columns,
+            has_header & (count != contract.expected_columns),
             F.format_string(f"found %d columns, expected {contract.expected_columns}", count),
         ),
         (
             "missing_required_column",
-            F.size("missing") > 0,
+            has_header & (F.size("missing") > 0),
             F.concat(F.lit("required columns not found: "), F.array_join("missing", ", ")),
         ),
         (
             "unexpected_column",
-            F.size("unexpected") > 0,
+            has_header & (F.size("unexpected") > 0),
             F.concat(F.lit("columns not in the contract, not loaded: "), F.array_join("unexpected", ", ")),
         ),
     ]
@@ -37,7 +49,7 @@ def structure_report(release: Release, contract: Contract = Contract()) -> DataF
         "source_path",
         "headers",
         "positions",
-        _messages(problems, contract, FAIL).alias("errors"),
+        F.concat(unreadable, _messages(problems, contract, FAIL)).alias("errors"),
         _messages(problems, contract, WARN).alias("warnings"),
     )
 
@@ -182,10 +194,17 @@ def validate_release(release: Release, contract: Contract = Contract()) -> DataF
     return full_report(structure, row_report(profile), contract)
 
 
-def validate_files(spark: SparkSession, path: str, contract: Contract = Contract()) -> DataFrame:
+def validate_files(spark: SparkSession, path: str | list[str], contract: Contract = Contract()) -> DataFrame:
     return validate_release(read_release(spark, path, contract), contract)
 
 
-def failing_files(report: DataFrame) -> list[str]:
-    """Names of failing files, at most one per release file, for the gate's message and exit code."""
-    return [r["source_path"] for r in report.where("status = 'fail'").select("source_path").take(100)]
+def failing_files(report: DataFrame) -> DataFrame:
+    """``source_path`` and ``errors`` of the files that fail, all of them."""
+    return report.where("status = 'fail'").select("source_path", "errors")
+
+
+def failure_message(failing: DataFrame, named: int = 20) -> str:
+    """How many files fail, and the first few by name; the report holds them all."""
+    first = [r["source_path"] for r in failing.select("source_path").orderBy("source_path").limit(named).collect()]
+    total = failing.count()
+    return f"{total} failing file(s): {', '.join(first)}" + (f" and {total - len(first)} more" if total > len(first) else "")

@@ -8,6 +8,7 @@ a sheet to about a million rows). Row numbers are 1-based and count every line,
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -24,10 +25,31 @@ MAX_HASHED_BYTES = 256 << 20
 
 @dataclass(frozen=True)
 class Release:
-    """Rows after the header row, and one header record per file."""
+    """Rows after the header row, and a header record of each file that has one.
+
+    ``shapes`` has a row for every input file, read or not: cells of its widest row, and the first line on
+    which a quoted cell is left open (null: none).
+    """
 
     rows: DataFrame
     headers: DataFrame
+    shapes: DataFrame
+
+
+def is_workbook(path: Column) -> Column:
+    return F.lower(path).endswith(".xlsx")
+
+
+def listed_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``(source_path, is_book)`` of every input file; no content is read."""
+    listing = spark.read.format("binaryFile").load(path)
+    found = listing.select(F.col("_metadata.file_path").alias("source_path"))
+    # a scan leaves out files of no bytes; Spark's own listing, which the driver holds anyway, has them
+    listed = spark.createDataFrame([(f,) for f in listing.inputFiles()], "f string").select(
+        F.regexp_replace("f", "^file:/+", "file:/").alias("source_path")  # as the metadata column writes it
+    )
+    empty = listed.join(found, "source_path", "left_anti")
+    return found.unionByName(empty).withColumn("is_book", is_workbook(F.col("source_path")))
 
 
 def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -41,7 +63,9 @@ def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     tagged lines are therefore written once: every later step sees the same splits.
     """
     lines = materialise(
-        spark.read.text(path).select(
+        spark.read.text(path)
+        .where(~is_workbook(F.col("_metadata.file_name")))
+        .select(
             F.col("_metadata.file_path").alias("source_path"),
             F.col("_metadata.file_block_start").alias("_block"),
             F.monotonically_increasing_id().alias("_id"),
@@ -98,13 +122,24 @@ def read_text_release(spark: SparkSession, path: str, contract: Contract = Contr
     body = lines.where(F.col("source_row_number") > header_number).select(
         "source_path", "source_row_number", _cells(F.col("value"), width).alias("cells")
     )
-    return Release(body, headers)
+    # a line with an odd number of quotes leaves a cell open that goes on in the next line
+    unquoted = F.regexp_replace("value", '"[^"]*"', "q")
+    filled = F.regexp_replace(unquoted, r"[,\s]+$", "")
+    is_open = F.contains(unquoted, F.lit('"'))
+    shapes = lines.groupBy("source_path").agg(
+        F.max(F.when(F.col("source_row_number") >= header_number, F.length(filled) - F.length(F.replace(filled, F.lit(","))) + 1)).alias("widest"),
+        F.min(F.when(is_open, F.col("source_row_number"))).alias("open_line"),
+    )
+    return Release(body, headers, shapes)
 
 
 def read_workbook_release(spark: SparkSession, path: str, contract: Contract = Contract()) -> Release:
     """First sheet of every workbook, all cells as text, decoded once and written as rows."""
-    files = spark.read.format("binaryFile").load(path).select(
-        F.col("_metadata.file_path").alias("path"), "content"
+    files = (
+        spark.read.format("binaryFile")
+        .load(path)
+        .where(is_workbook(F.col("_metadata.file_name")))
+        .select(F.col("_metadata.file_path").alias("path"), "content")
     )
     cloudpickle.register_pickle_by_value(workbook)  # executors need not have this package installed
     decoded = files.repartition("path").mapInPandas(
@@ -115,12 +150,26 @@ def read_workbook_release(spark: SparkSession, path: str, contract: Contract = C
     headers = rows.where(F.col("source_row_number") == header_number).select(
         "source_path", F.transform("cells", lambda c: F.coalesce(strip(c), F.lit(""))).alias("headers")
     )
-    return Release(rows.where(F.col("source_row_number") > header_number), headers)
+    filled = F.transform("cells", lambda c, i: F.when(F.length(strip(c)) > 0, i + 1))
+    shapes = rows.where(F.col("source_row_number") >= header_number).groupBy("source_path").agg(
+        F.max(F.array_max(filled)).alias("widest"), F.lit(None).cast("long").alias("open_line")
+    )
+    return Release(rows.where(F.col("source_row_number") > header_number), headers, shapes)
 
 
-def read_release(spark: SparkSession, path: str, contract: Contract = Contract()) -> Release:
-    reader = read_workbook_release if path.rstrip("/").endswith(".xlsx") else read_text_release
-    return reader(spark, path, contract)
+def read_release(spark: SparkSession, path: str | list[str], contract: Contract = Contract()) -> Release:
+    """Files of either format, told apart one by one by their ending, in any letter case.
+
+    Files that have no rows, or too few for a header, are in ``shapes`` all the same.
+    """
+    files = materialise(listed_files(spark, path), "files")
+    kinds = {r["is_book"] for r in files.select("is_book").distinct().collect()}
+    readers = [read_text_release] * (False in kinds) + [read_workbook_release] * (True in kinds)
+    parts = [reader(spark, path, contract) for reader in readers]
+    rows, headers, shapes = (
+        reduce(DataFrame.unionByName, [getattr(p, name) for p in parts]) for name in ("rows", "headers", "shapes")
+    )
+    return Release(rows, headers, files.select("source_path").join(shapes, "source_path", "left"))
 
 
 # ---------------------------------------------------------------- headers
@@ -173,7 +222,7 @@ def file_fingerprints(spark: SparkSession, path: str, max_bytes: int = MAX_HASHE
     """
     files = spark.read.format("binaryFile").load(path)
     source = F.col("_metadata.file_path")
-    is_large = (F.col("length") > max_bytes) & ~source.endswith(".xlsx")
+    is_large = (F.col("length") > max_bytes) & ~is_workbook(source)
     whole = files.where(~is_large).select(
         source.alias("source_path"),
         F.col("_metadata.file_name").alias("source_file"),

@@ -25,6 +25,19 @@ def scratch_root(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/reqlytics-{uuid.uuid4().hex[:12]}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any store that Spark reaches; one that is not there is left alone."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def discard_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application: at the end of a job, when nothing reads them."""
+    root = _scratch.pop(spark.sparkContext.applicationId, "")
+    if root:
+        remove(spark, root)
+
+
 _scratch: dict[str, str] = {}
 
 
@@ -76,6 +89,10 @@ class Warehouse:
             .parquet(self.path(layer, table))
         )
 
+    def drop_partition(self, layer: str, table: str, partition: str, value: str) -> None:
+        """Remove one partition of a table that is there."""
+        remove(self.spark, f"{self.path(layer, table)}/{partition}={value}")
+
     def read(self, layer: str, table: str, schema=None) -> DataFrame:
         reader = self.spark.read
         if schema is not None:

@@ -142,3 +142,23 @@ def test_variants_and_truncated_names(spark):
     assert groups[3]["canonical_digest"] == hashlib.md5(b"tank a").hexdigest()
     names = spark.createDataFrame([(v,) for v in ["king", "king a", "king b", "queen", "queen c", "kingdom d"]], "t string")
     assert [tuple(r) for r in canonical.truncated_names(names, "t").collect()] == [("king", 2)]
+
+
+def test_rank_selection_orders_few_values(spark):
+    """Narrow, far and extreme ranges: buckets are refined until few values are left, and the result is exact."""
+    values = {
+        "far": [1e9 + i / 1e4 for i in range(3000)],
+        "tiny": [i * 1e-12 for i in range(2001)],
+        "wide": [-1.7e308, 1.7e308],
+        "steep": [2.0**i for i in range(-500, 500)],
+        "same": [5.0],
+        "gap": [1.0, 2.0, 1e6, 1e6 + 1],
+    }
+    rows = [(k, v, 1) for k, vs in values.items() for v in vs]
+    frame = spark.createDataFrame(rows, "k string, v double, n long")
+    for most in (2, 100, 20_000):
+        got = {r["k"]: r["m"] for r in median.select_by_rank(frame, ["k"], "v", "n", "m", most=most).collect()}
+        for k, vs in values.items():
+            vs = sorted(vs)
+            low, high = vs[(len(vs) - 1) // 2], vs[len(vs) // 2]
+            assert got[k] == (low if low == high else 0.5 * low + 0.5 * high), (k, most)

@@ -99,6 +99,16 @@ def test_failing_layer_blocks_the_next(spark):
     assert "fact" not in medallion.__dict__ and "dim_date" not in medallion.__dict__
 
 
+def test_failing_fact_blocks_report_and_mart(spark, monkeypatch):
+    w = world(spark, SF)
+    medallion = Medallion(Warehouse(spark, scratch_root(spark)), w.bronze, w.issue_map, w.location_map, w.contract)
+    twice = w.layers.fact.unionByName(w.layers.fact)
+    monkeypatch.setattr("reqlytics.plans.fact.build_fact", lambda *a, **k: twice)
+    with pytest.raises(quality.QualityGate, match="unique_fact_request_sk"):
+        medallion.run()
+    assert "fact" in medallion.__dict__ and "rpt" not in medallion.__dict__ and "mart" not in medallion.__dict__
+
+
 def test_whole_run_passes(spark):
     w = world(spark, SF)
     medallion = Medallion(Warehouse(spark, scratch_root(spark)), w.bronze, w.issue_map, w.location_map, w.contract)

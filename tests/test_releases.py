@@ -134,7 +134,7 @@ def test_several_files_one_report_each(spark, tmp_path):
         (tmp_path / f"{name}.csv").write_bytes(as_text(content))
     report = validate_files(spark, str(tmp_path))
     assert {r["source_path"][-5:-4]: r["status"] for r in report.collect()} == {"a": "pass", "b": "fail", "c": "pass"}
-    assert [p[-5:] for p in failing_files(report)] == ["b.csv"]
+    assert [r.source_path[-5:] for r in failing_files(report).collect()] == ["b.csv"]
 
 
 def test_workbook_cells_are_text():
@@ -231,3 +231,55 @@ def test_contract_document(tmp_path):
     assert (contract.header_row, contract.expected_columns, contract.column_names) == (2, 1, ["issue_type_raw"])
     assert contract.labels.completed == "d" and contract.rules["unknown_status"] == "fail"
     assert contract.rules["column_count_mismatch"] == "fail"
+
+
+# ---------------------------------------------------------------- files that cannot be read in full
+def report_by_name(spark, path):
+    return {r["source_path"].rsplit("/", 1)[1]: r for r in validate_files(spark, path).collect()}
+
+
+def test_files_that_cannot_be_read_in_full_fail(spark, tmp_path):
+    files = {
+        "title.csv": as_text([["t"]]),
+        "empty.csv": b"",
+        "wide.csv": as_text([["t"], HEADERS, [*ROW_A, "more"]]),
+        "broken.csv": as_text([["t"], HEADERS, [ROW_A[0], "one\ntwo", *ROW_A[2:]]]),
+        "good.csv": as_text([["t"], HEADERS, ROW_A]),
+        "quotes.csv": as_text([["t"], HEADERS, [ROW_A[0], 'say "hi", you', *ROW_A[2:]]]),
+        "commas.csv": as_text([["t"], HEADERS]) + ",".join(ROW_A).encode() + b",,,\n",
+        "header.csv": as_text([["t"], HEADERS]),
+        "BOOK.XLSX": as_workbook([["t"], HEADERS, ROW_A]),
+        "widebook.xlsx": as_workbook([["t"], HEADERS, [*ROW_A, "more"]]),
+        "titlebook.xlsx": as_workbook([["t"]]),
+    }
+    for name, content in files.items():
+        (tmp_path / name).write_bytes(content)
+    got = report_by_name(spark, str(tmp_path))
+    assert set(got) == set(files)
+    bad = {"title.csv", "empty.csv", "wide.csv", "broken.csv", "widebook.xlsx", "titlebook.xlsx"}
+    assert {n for n, r in got.items() if r["status"] == "fail"} == bad
+    assert "header" in got["title.csv"]["errors"][0] and "7 columns" in got["wide.csv"]["errors"][0]
+    assert "line 3" in got["broken.csv"]["errors"][0]
+    assert got["BOOK.XLSX"]["data_rows"] == got["good.csv"]["data_rows"] == 1
+    both = validate_files(spark, [str(tmp_path / "good.csv"), str(tmp_path / "BOOK.XLSX")])
+    assert both.count() == 2
+
+
+def test_short_file_is_not_loaded(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_bytes(as_text([["t"]]))
+    with pytest.raises(ReleaseRejected):
+        load_release(Warehouse(spark, str(tmp_path / "wh")), str(tmp_path / "in"), "2026Q1")
+
+
+def test_files_of_one_name_and_empty_releases(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    for folder in ("x", "y"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "r.csv").write_bytes(as_text([["t"], HEADERS, ROW_A, ROW_A]))
+    manifest = load_release(warehouse, [str(tmp_path / "x"), str(tmp_path / "y")], "2026Q1")
+    assert [(r["rows_in_file"], r["rows_loaded"]) for r in manifest.collect()] == [(2, 2), (2, 2)]
+    (tmp_path / "z.csv").write_bytes(as_text([["t"], HEADERS]))
+    load_release(warehouse, str(tmp_path / "x"), "2026Q2")
+    load_release(warehouse, str(tmp_path / "z.csv"), "2026Q1")
+    assert {r[0] for r in read_bronze(warehouse).select("source_quarter").distinct().collect()} == {"2026Q2"}
