@@ -25,7 +25,7 @@ from reqlytics.plans import (  # noqa: E402
     validation,
 )
 from reqlytics.plans import silver as silver_plan  # noqa: E402
-from reqlytics.sources.warehouse import run_query  # noqa: E402
+from reqlytics.sources.warehouse import run_query, scratch_root  # noqa: E402
 
 try:  # the training-data operators can be left out of a build
     from reqlytics.llm.oracle import ORACLE as LLM_ORACLE  # noqa: E402
@@ -191,6 +191,21 @@ def c1_validation_warnings(spark, sf):
     return report.withColumn("source_path", w.release_of(F.col("source_path")))
 
 
+def c1_validation_failures(spark, sf):
+    """Releases with a fault each: what cannot be read in full is refused, with its reasons."""
+    path = f"{scratch_root(spark)}/faulty"
+    lines = derived.faulty_lines(spark, sf).repartition("release").sortWithinPartitions("release", "line")
+    lines.select("release", "value").write.partitionBy("release").text(path)
+    report = validation.validate_files(spark, path, world(spark, sf).contract)
+    return report.select(
+        F.regexp_extract("source_path", r"release=([^/]+)", 1).cast("long").alias("release"),
+        "status",
+        F.size("errors").alias("n_errors"),
+        F.regexp_replace(F.get("errors", F.lit(0)), "[^a-z ].*$", "").alias("first_error"),
+        "data_rows",
+    )
+
+
 def c2_bronze_lineage(spark, sf):
     w = world(spark, sf)
     return w.loaded.drop("source_file", "file_sha256", "batch_id", "ingested_at")
@@ -415,6 +430,7 @@ def d3_events_period_delta(spark, sf):
 REGISTERED: dict[str, Query] = {
     "c1_validation_report": c1_validation_report,
     "c1_validation_warnings": c1_validation_warnings,
+    "c1_validation_failures": c1_validation_failures,
     "c1_validation_rows": c1_validation_rows,
     "c1_validation_strict": c1_validation_strict,
     "c2_bronze_lineage": c2_bronze_lineage,

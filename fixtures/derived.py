@@ -8,7 +8,7 @@ derivation in SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Window, Column, DataFrame, SparkSession, functions as F
 
 from reqlytics.contract import Column as Field, Contract, Labels
 
@@ -183,3 +183,30 @@ def coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "nation").select(
         F.col("n_name").alias("location_label"), position.alias("lat"), (position * 2).alias("lon")
     )
+
+
+def faulty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(release, line, value)`` of one small release per nation, with a row per customer and a fault that
+    depends on the nation: 1 title only, 2 a wider row, 3 a quoted line end, 4 a column missing, 5 header only."""
+    rows = table(spark, sf_dir, "customer").select(
+        F.col("c_nationkey").alias("release"),
+        F.col("c_custkey").alias("line"),
+        (F.col("c_nationkey") % 6).alias("fault"),
+        (F.col("c_custkey") == F.min("c_custkey").over(Window.partitionBy("c_nationkey"))).alias("is_first"),
+    )
+    fault, first = F.col("fault"), F.col("is_first")
+    body = F.concat(F.lit("Lamp,place "), F.col("release"), F.lit(",done,5,1998-01-01"))
+    value = (
+        F.when(fault == 4, body)
+        .when((fault == 2) & first, F.concat(body, F.lit(",repeated,more")))
+        .when((fault == 3) & first, F.concat(F.lit('"two\nlines",place,done,5,1998-01-01,repeated')))
+        .otherwise(F.concat(body, F.lit(",repeated")))
+    )
+    data = rows.where(~fault.isin(1, 5)).select("release", "line", value.alias("value"))
+    nations = rows.where(first)
+    header = F.when(fault == 4, "issue_type,location,status,closure_hours,received").otherwise(
+        "issue_type,location,status,closure_hours,received,repeat"
+    )
+    titles = nations.select("release", F.lit(-2).alias("line"), F.lit("requests").alias("value"))
+    headers = nations.where(fault != 1).select("release", F.lit(-1).alias("line"), header.alias("value"))
+    return titles.unionByName(headers).unionByName(data)
