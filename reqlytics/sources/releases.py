@@ -52,7 +52,9 @@ def listed_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return found.unionByName(empty).withColumn("is_book", is_workbook(F.col("source_path")))
 
 
-def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def numbered_lines(
+    spark: SparkSession, path: str | list[str], larger_than: int = -1, line_end: str | None = None
+) -> DataFrame:
     """``(source_path, source_row_number, value)`` of text files, whatever the splits.
 
     A file's splits are read by different tasks. Inside a split lines keep their order, so a line's
@@ -62,9 +64,10 @@ def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     How Spark cuts files depends on the cores at hand, which change when executors come and go. The
     tagged lines are therefore written once: every later step sees the same splits.
     """
+    reader = spark.read if line_end is None else spark.read.option("lineSep", line_end)
     lines = materialise(
-        spark.read.text(path)
-        .where(~is_workbook(F.col("_metadata.file_name")))
+        reader.text(path)
+        .where(~is_workbook(F.col("_metadata.file_name")) & (F.col("_metadata.file_size") > larger_than))
         .select(
             F.col("_metadata.file_path").alias("source_path"),
             F.col("_metadata.file_block_start").alias("_block"),
@@ -217,8 +220,9 @@ def file_fingerprints(spark: SparkSession, path: str, max_bytes: int = MAX_HASHE
     """``(source_path, source_file, file_sha256, n_bytes)``: same content, same fingerprint.
 
     SHA-256 is sequential, so a file is hashed by one task; that is right for files up to
-    ``max_bytes`` and for workbooks. Larger text files go through :func:`line_fingerprints`. Which
-    way is taken depends on the file alone, not on the files next to it.
+    ``max_bytes`` and for workbooks. Larger text files have a digest tree over their lines, cut at line feeds
+    only, so carriage returns count, and their size, so a missing last line end counts. It begins with
+    ``tree-`` and is never taken for the hash of the bytes. Which way is taken depends on the file alone.
     """
     files = spark.read.format("binaryFile").load(path)
     source = F.col("_metadata.file_path")
@@ -229,10 +233,14 @@ def file_fingerprints(spark: SparkSession, path: str, max_bytes: int = MAX_HASHE
         F.sha2("content", 256).alias("file_sha256"),
         F.col("length").alias("n_bytes"),
     )
-    large = [r[0] for r in files.where(is_large).select(source).collect()]
-    if not large:
+    large = files.where(is_large).select(source.alias("source_path"), F.col("length").alias("size"))
+    if large.isEmpty():
         return whole
-    return whole.unionByName(line_fingerprints(numbered_lines(spark, large)))
+    trees = line_fingerprints(numbered_lines(spark, path, max_bytes, "\n")).join(large, "source_path")
+    root = F.sha2(F.concat_ws(":", "file_sha256", "size"), 256)
+    return whole.unionByName(
+        trees.select("source_path", "source_file", F.concat(F.lit("tree-"), root).alias("file_sha256"), F.col("size").alias("n_bytes"))
+    )
 
 
 def line_fingerprints(lines: DataFrame, fan_in: int = 4096) -> DataFrame:

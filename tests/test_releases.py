@@ -181,7 +181,17 @@ def test_fingerprints(spark, tmp_path):
     whole = {r["source_file"]: r["file_sha256"] for r in releases.file_fingerprints(spark, str(tmp_path)).collect()}
     assert whole["a.csv"] == whole["b.csv"] == hashlib.sha256(b"x\ny\n").hexdigest() != whole["c.csv"]
     tree = {r["source_file"]: r["file_sha256"] for r in releases.file_fingerprints(spark, str(tmp_path), 1).collect()}
-    assert tree["a.csv"] == tree["b.csv"] != tree["c.csv"]
+    assert tree["a.csv"] == tree["b.csv"] != tree["c.csv"] and tree["a.csv"].startswith("tree-")
+
+
+def test_fingerprints_of_large_files_see_line_ends(spark, tmp_path):
+    contents = {"crlf": b"x\r\ny\r\n", "lf": b"x\ny\n", "open": b"x\ny", "same": b"x\ny\n"}
+    for name, content in contents.items():
+        (tmp_path / f"{name}.csv").write_bytes(content)
+    for most in (1 << 20, 1):
+        got = {r["source_file"][:-4]: r for r in releases.file_fingerprints(spark, str(tmp_path), most).collect()}
+        assert len({r["file_sha256"] for r in got.values()}) == 3 and got["lf"]["file_sha256"] == got["same"]["file_sha256"]
+        assert {n: r["n_bytes"] for n, r in got.items()} == {n: len(c) for n, c in contents.items()}
 
 
 def test_tree_fingerprint_has_several_levels(spark):
