@@ -22,7 +22,3 @@ def safe_double(c: Column) -> Column:
 def safe_datetime(c: Column) -> Column:
     """Civil date-time without a zone."""
     return F.when(c.rlike(DATETIME_SHAPE), F.upper(c).try_cast("timestamp_ntz"))
-
-
-def as_long(c: Column) -> Column:
-    return c.cast("long")

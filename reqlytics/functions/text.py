@@ -45,11 +45,6 @@ def is_header_text(c: Column, headers: list[str]) -> Column:
     return F.coalesce(maybe & squeeze(c).isin(headers), F.lit(False))
 
 
-def match_key(c: Column) -> Column:
-    """A cleaned text without the marks in which spelling variants differ."""
-    return F.regexp_replace(c, VARIANT_MARKS, "")
-
-
 def is_layout_b(closure_slot: Column, pattern: str) -> Column:
     """True where the closure slot holds a time band; null slots are not B."""
     return F.coalesce(closure_slot.rlike(pattern), F.lit(False))

@@ -1,6 +1,7 @@
 """Dashboard queries over the reporting table and the issue mart.
 
-Every function returns a lazy frame. ``quarters`` restricts the period (None: everything on
+Every function returns a frame; those with a median (KPIs, published gate, period delta) run one job when
+they are called, which writes their count table. ``quarters`` restricts the period (None: everything on
 record); it reaches the scan as a partition filter where the table is partitioned by quarter.
 """
 
@@ -25,6 +26,7 @@ from reqlytics.operators.median import aggregate_with_median
 from reqlytics.operators.periods import judge, with_previous
 
 Quarters = Sequence[str] | None
+# Fixed value: the location type that is shown.
 NEIGHBOURHOOD = "neighborhood"
 SMALLEST_LOG_HOURS = 0.5
 
@@ -202,6 +204,7 @@ def reliability(rpt: DataFrame, quarters: Quarters = None) -> DataFrame:
 
 
 # ---------------------------------------------------------------- views of the issue mart
+# The output columns of the matrix.
 MATRIX = [
     "source_quarter", "issue_ar", "issue_en", "total_requests", "repeated_requests", "repeat_rate",
     "median_closure_hours", "resolution_group", "closure_threshold_hours", "repeat_threshold",
