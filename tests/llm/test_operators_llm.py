@@ -168,6 +168,14 @@ def test_language_model_odd_rows(spark, odd, clashing, empty):
     assert (r.train_tokens, r.n_known, r.base_score) == (0, 0, 0.0) and r.score < 0
 
 
+def test_words_are_told_apart_by_32_members():
+    import pyarrow as pa
+
+    found = [t for _, t in maxent.token_slices(pa.array([" ".join(f"w{i}ing" for i in range(5000))]))][0]
+    assert len(np.unique(found.bucket[:-1] % maxent.MEMBERS)) == 32  # all of one class, by their last letters
+    assert len(np.unique(found.bucket[:-1] // maxent.MEMBERS)) == 1
+
+
 def test_rare_words_are_joined(spark):
     """With a head of two words the counts of all others come by the join; the scores are the same."""
     docs = spark.createDataFrame([(i, f"the of the w{i % 5} x{i}") for i in range(40)], "doc_id long, text string")
