@@ -169,6 +169,16 @@ def _one_pass(state: DataFrame, windows, keep: list[str], with_text: bool) -> Da
     )
 
 
+def cut(found: scan.Words, spans: list[tuple[int, int]]) -> str:
+    """The text of a slice without these ranges of words and what stands between their words."""
+    held, out, place = found.data, [], 0
+    for a, b in spans:
+        out.append(held[place : found.starts[a]].tobytes())
+        place = int(found.ends[b - 1])
+    out.append(held[place:].tobytes())
+    return b" ".join(out).decode()
+
+
 def without_spans(text: str, windows: Windows) -> str:
     """The text without the words of any window and what stands between them; looked through again until
     nothing is found, since words that come to stand side by side could make a window."""
@@ -177,31 +187,49 @@ def without_spans(text: str, windows: Windows) -> str:
         covered, _ = hits(found, windows)
         if not covered.any():
             return text
-        edges = np.flatnonzero(np.diff(np.concatenate([[0], covered.astype(np.int8), [0]])))
-        held, out, place = found.data, [], 0
-        for a, b in zip(edges[::2].tolist(), edges[1::2].tolist()):
-            out.append(held[place : found.starts[a]].tobytes())
-            place = int(found.ends[b - 1])
-        out.append(held[place:].tobytes())
-        text = b" ".join(out).decode()
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], covered.astype(np.int8), [0]]))).tolist()
+        text = cut(found, list(zip(edges[::2], edges[1::2])))
 
 
 def clean(docs: DataFrame, items: DataFrame, text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` with the hit words of ``text`` removed; a hit document that has no word left goes.
 
-    All columns stay; other texts stay as they are, nulls and texts without words included.
+    All columns stay; other texts stay as they are, nulls and texts without words included. With several
+    blocks, the hits of all are found in the same text before anything is cut, so the result is that of one block.
     """
-    spark = docs.sparkSession
-    out = docs
     parts = blocks(items.select("item_id", "text"), block_bytes)
-    for k, part in enumerate(parts):
-        rows = part.collect()  # one block: bounded by block_bytes
-        windows = spark.sparkContext.broadcast(Windows([r[0] for r in rows], [r[1] for r in rows]))
-        out = _clean_pass(out, windows, text)
-        if k + 1 < len(parts):
-            out = materialise(out, "decontaminate")
-            windows.unpersist()
-    return out
+    if len(parts) > 1:
+        return _clean_rounds(docs, items, text, block_bytes)
+    rows = parts[0].collect()  # one block: bounded by block_bytes
+    windows = docs.sparkSession.sparkContext.broadcast(Windows([r[0] for r in rows], [r[1] for r in rows]))
+    return _clean_pass(docs, windows, text)
+
+
+def _clean_rounds(docs: DataFrame, items: DataFrame, text: str, block_bytes: int) -> DataFrame:
+    """Rounds over all blocks; a round goes on with the texts that the one before has cut."""
+    names = {c: f"d{i}" for i, c in enumerate(docs.columns)}
+    own = names[text]
+    others = [n for n in names.values() if n != own]
+    added = T.StructType([T.StructField("new", docs.schema[text].dataType), T.StructField("gone", T.BooleanType())])
+
+    def compute(batch: pa.RecordBatch) -> dict:
+        given = []
+        for value, spans in zip(batch.column(0), batch.column(1).to_pylist()):
+            given.append(cut(whole(value.as_py()), [(s["start"], s["end"]) for s in spans]))
+        return {"new": given, "gone": [not len(scan.word_hashes(t.encode(), scan.ALNUM)) for t in given]}
+
+    left = docs.select(*[docs[f"`{c}`"].alias(n) for c, n in names.items()])
+    out = None
+    while True:
+        found = scan_documents(left, items, own, block_bytes=block_bytes).select(*names.values(), "spans")
+        found = materialise(found, "decontaminate")
+        done = found.where(F.size("spans") == 0).drop("spans")
+        out = done if out is None else out.unionByName(done)
+        hit = found.where(F.size("spans") > 0)
+        if not hit.limit(1).count():
+            return out.select(*[F.col(n).alias(c) for c, n in names.items()])
+        made = with_columns(hit, {"value": own, "spans": "spans"}, others, added, compute).where("NOT gone")
+        left = made.select(*[F.col("new" if n == own else n).alias(n) for n in names.values()])
 
 
 def _clean_pass(docs: DataFrame, windows, text: str) -> DataFrame:

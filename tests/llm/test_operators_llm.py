@@ -139,6 +139,23 @@ def test_spans_and_items(spark, odd, clashing, empty):
     assert decontaminate.digests(empty, items).count() == 0
 
 
+def test_clean_does_not_depend_on_blocks(spark, clashing):
+    words = [f"w{i}" for i in range(1, 16)]
+    items = [(k, " ".join(words[k : k + 10])) for k in range(6)] + [(9, "y z"), (10, "x q")]
+    items = spark.createDataFrame(items, "item_id long, text string")
+    said = ["a " + " ".join(words) + " b", " ".join(words), "x y z q r", None, "c " + " ".join(words[2:13]) + ". y, z d", "none of it"]
+    docs = spark.createDataFrame(list(enumerate(said)), "doc_id long, text string")
+    got = [
+        {r.doc_id: r.text and r.text.split() for r in decontaminate.clean(docs, items, block_bytes=n).collect()}
+        for n in (decontaminate.BLOCK_BYTES, 40)
+    ]
+    assert got[0] == got[1] == {0: ["a", "b"], 2: ["r"], 3: None, 4: ["c", "d"], 5: ["none", "of", "it"]}
+    odd_items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    whole, blocks = (decontaminate.clean(clashing, odd_items, block_bytes=n) for n in (decontaminate.BLOCK_BYTES, 40))
+    assert blocks.columns == whole.columns
+    assert whole.exceptAll(blocks).count() == blocks.exceptAll(whole).count() == 0
+
+
 def test_words_that_meet_are_looked_at_again():
     windows = decontaminate.Windows([1, 2], ["b c", "a d"])
     assert decontaminate.without_spans("a b c d x", windows).split() == ["x"]
