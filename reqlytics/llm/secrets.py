@@ -1,12 +1,13 @@
 """Secret scan: candidates by their shape, false positives removed by a random forest.
 
-A candidate is a run of at least 16 letters, digits and ``+ / _ = -`` that holds a digit or both letter cases. The
-forest looks at its length, changes between kinds of characters, how usual its letter pairs are in prose,
+A candidate is a run of at least 16 letters, digits and ``+ / _ = -``, without a leading ``name=`` and without the
+words of a path around it, or a value of at least 8 that is assigned to a key word. The forest looks at its length, changes between kinds of characters, how usual its letter pairs are in prose,
 how much of it dictionary words cover, whether it is part of a path, and at the words around it.
 
 Training takes labelled findings: texts with the place of a candidate and whether it is a secret. Without
 findings of one's own, :func:`findings` writes them from lists of kinds and contexts into prose of the corpus.
-The dictionary and the letter pairs come from the same bounded sample of prose (``PROSE_DOCS`` documents).
+The prose comes from a bounded sample (``PROSE_DOCS`` documents); training rows are what the scan's own
+candidates are in the whole sentence. The dictionary and the letter pairs come from the same sample.
 Scanning covers whole texts in one pass without a shuffle.
 
 Results: null and empty texts have no candidates; repeated rows repeat their result; a score of exactly
@@ -38,6 +39,16 @@ KEY_WORDS = {"token", "secret", "key", "apikey", "api_key", "password", "passwd"
              "access", "private", "client_secret", "access_key", "secret_key"}
 OTHER_WORDS = {"commit", "sha", "sha1", "sha256", "md5", "checksum", "digest", "hash", "build", "revision", "uuid", "id",
                "card", "order", "invoice", "isbn", "example", "sample", "dummy", "placeholder", "test"}
+#: What stands before the value in a run, and the words of a path before and after it.
+NAME = re.compile(r".*=(?=[^=])")
+PATH = re.compile(r"/*(?:[A-Za-z]?[a-z_\-]{2,}/+)+")
+PATH_END = re.compile(r"(?:/+[A-Za-z]?[a-z_\-]{2,})+/*$")
+#: A shorter value, by what assigns it.
+SHORT = re.compile(
+    r"(?i)(?:%s)[\"']?\s*[=:]\s*[\"']?(?P<said>[A-Za-z0-9+/_\-]{8,15}(?![A-Za-z0-9+/_\-]))"
+    % "|".join(sorted(KEY_WORDS, key=lambda w: (-len(w), w)))
+)
+LEAST_RUN = 16
 FEATURES = ["length", "changes", "digits", "capitals", "marks", "entropy", "pairs", "dictionary", "path", "key_word",
             "other_word", "assigned", "quoted", "hex", "numeric"]
 AROUND = 48
@@ -47,9 +58,27 @@ def candidates(text: str) -> list[tuple[int, int]]:
     """Places of candidates, in code points."""
     out = []
     for m in CANDIDATE.finditer(text):
+        start, end = m.span()
         said = m.group()
-        if any(c.isdigit() for c in said) or (not said.islower() and not said.isupper() and said[1:].lower() != said[1:]):
-            out.append(m.span())
+        if not any(c.isalnum() for c in said):
+            continue
+        if name := NAME.match(said):
+            start += name.end()
+        if end - start >= LEAST_RUN:
+            a, b = start, end
+            if path := PATH.match(text, a, b):
+                a = path.end()
+            if path := PATH_END.search(text[a:b]):
+                b = a + path.start()
+            # a run that is nothing but a path is judged as it stands
+            out.append((a, b) if b - a >= LEAST_RUN else (start, end))
+    if "=" in text or ":" in text:
+        taken = set(out)
+        for m in SHORT.finditer(text):
+            span = m.span("said")
+            if not any(a < span[1] and span[0] < b for a, b in taken):
+                out.append(span)
+        out.sort()
     return out
 
 
@@ -74,9 +103,12 @@ class Prose:
         for w, n in words.items():
             for a, b in zip(w, w[1:]):
                 pairs[a + b] += n
+        return Prose.counted(sorted(words, key=lambda w: (-words[w], w))[:DICTIONARY], pairs)
+
+    @staticmethod
+    def counted(words: list[str], pairs: dict[str, int]) -> Prose:
         total = sum(pairs.values()) + 36 * 36
-        top = sorted(words, key=lambda w: (-words[w], w))[:DICTIONARY]
-        return Prose(set(top), {p: math.log((n + 1) / total) for p, n in pairs.items()}, math.log(1 / total))
+        return Prose(set(words), {p: math.log((n + 1) / total) for p, n in pairs.items()}, math.log(1 / total))
 
     def coverage(self, said: str) -> float:
         """Share of the characters that dictionary words cover, longest word first from the left."""
@@ -151,11 +183,12 @@ def findings(texts: list[str], n: int = N_FINDINGS, seed: int = 20240) -> list[t
     secret_kinds = [
         hex_key, hex_key, lambda: some(mixed, int(r.integers(20, 48))), lambda: "AKIA" + some(low.upper() + digits, 16),
         lambda: "ghp_" + some(mixed, 36), lambda: "sk-" + some(mixed, 40), lambda: some(mixed + "+/", 40) + "=",
-        lambda: "eyJ" + some(mixed, 60) + "_" + some(mixed, 40),
+        lambda: "eyJ" + some(mixed, 60) + "_" + some(mixed, 40), lambda: "AKIA" + some(low.upper(), 16),
+        lambda: some(mixed, int(r.integers(8, 16))),
     ]
     secret_contexts = [
         'token = "{}"', 'token = "{}"', "token={}", 'api_key: "{}"', "password = '{}'", "secret {}", "Authorization Bearer {}",
-        'client_secret="{}"', "access_key = {}", "key: {}", "TOKEN = \"{}\"", '"token": "{}"', "{}",
+        'client_secret="{}"', "access_key = {}", "key: {}", "TOKEN = \"{}\"", '"token": "{}"', "API_KEY={}", "export ACCESS_KEY={}", "https://example.org/get?token={}", "{}",
     ]
     other_kinds = [
         lambda: some(digits, 16), lambda: some(digits, 16), lambda: some(digits, int(r.integers(16, 24))), hex_key,
@@ -163,6 +196,7 @@ def findings(texts: list[str], n: int = N_FINDINGS, seed: int = 20240) -> list[t
         lambda: "-".join([*simple(3), some(digits, 4)]), lambda: "_".join([*simple(3), some(digits, 2)]),
         lambda: "".join(w.capitalize() for w in simple(4)) + some(digits, 1), lambda: "/".join([*simple(3), some(digits, 6)]),
         lambda: "your-api-key-goes-here-" + some(digits, 2), lambda: "x" * int(r.integers(16, 30)) + "1",
+        lambda: "".join(simple(4)), lambda: simple(1)[0][:15],
     ]
     any_context = ["{}", "{}", "{}", "{},", "({})", '"{}"', "id = {}"]
     hash_context = ["commit {}", "sha256 {}", "checksum: {}", "md5 {}", "build {}", "https://example.org/files/{}", "/var/lib/{}/data"]
@@ -173,19 +207,19 @@ def findings(texts: list[str], n: int = N_FINDINGS, seed: int = 20240) -> list[t
             k = int(r.integers(0, len(secret_kinds)))
             # a plain hex or mixed string is a secret by its context; those with a known beginning stand anywhere
             said = secret_kinds[k]()
-            choice = secret_contexts if k in (3, 4, 5, 7) else secret_contexts[:-1]
+            choice = secret_contexts if k in (3, 4, 5, 7, 8) else secret_contexts[:-1]
         else:
             k = int(r.integers(0, len(other_kinds)))
             said = other_kinds[k]()
             choice = hash_context if k == 3 else any_context + hash_context
-            if k == 9:
+            if k in (9, 12):
                 choice = secret_contexts[:-1]
         context = choice[int(r.integers(0, len(choice)))]
         left, right = " ".join(words(8)), " ".join(words(5))
         text = f"{left} {context.format(said)} {right}"
         start = len(left) + 1 + context.index("{}")
-        if candidates(said) == [(0, len(said))]:
-            out.append((text, start, start + len(said), is_secret))
+        end = start + len(said)
+        out += [(text, a, b, is_secret) for a, b in candidates(text) if a < end and start < b]
     return out
 
 
