@@ -7,7 +7,8 @@ how much of it dictionary words cover, whether it is part of a path, and at the
 Training takes labelled findings: texts with the place of a candidate and whether it is a secret. Without
 findings of one's own, :func:`findings` writes them from lists of kinds and contexts into prose of the corpus.
 The prose comes from a bounded sample (``PROSE_DOCS`` documents); training rows are what the scan's own
-candidates are in the whole sentence. The dictionary and the letter pairs come from the same sample.
+candidates are in the whole sentence. The letter pairs and the dictionary are counted over all documents; the
+dictionary that is sent out has the ``DICTIONARY`` most frequent words.
 Scanning covers whole texts in one pass without a shuffle.
 
 Results: null and empty texts have no candidates; repeated rows repeat their result; a score of exactly
@@ -23,9 +24,9 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from reqlytics.llm.common import chosen, with_columns, with_replaced
+from reqlytics.llm.common import chosen, materialise, with_columns, with_replaced
 
 PROSE_DOCS = 400
 DICTIONARY = 20_000
@@ -110,6 +111,32 @@ class Prose:
         total = sum(pairs.values()) + 36 * 36
         return Prose(set(words), {p: math.log((n + 1) / total) for p, n in pairs.items()}, math.log(1 / total))
 
+    @staticmethod
+    def of_all(docs: DataFrame, text: str = "text") -> Prose:
+        """From all documents, with counts added up within tasks. Words of equal count at the dictionary's end
+        are taken by their hash."""
+        cut = F.explode(F.split(F.lower(docs[f"`{text}`"]), "[^a-z]+"))
+        words = docs.select(cut.alias("word")).where("length(word) BETWEEN 3 AND 24")
+        words = materialise(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "prose")
+        two = F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda i: F.substring("word", i, 2))
+        pairs = words.select(F.explode(two).alias("pair"), "n").groupBy("pair").agg(F.sum("n").alias("n")).collect()  # 26 * 26
+        least, total = None, 0
+        sizes = words.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).limit(DICTIONARY)
+        for row in sizes.collect():
+            least = row["n"]
+            if total + row["words"] > DICTIONARY:
+                break
+            total += row["words"]
+        else:
+            least = 0  # all words that there are, or as many as there is room for
+            if total == DICTIONARY:
+                least = row["n"] - 1
+        top = [r["word"] for r in words.where(F.col("n") > least).select("word").collect()]  # DICTIONARY at most
+        if least and len(top) < DICTIONARY:
+            same = words.where(F.col("n") == least).select("word")
+            top += [r["word"] for r in chosen(same, "word", DICTIONARY - len(top)).collect()]
+        return Prose.counted(top, {r["pair"]: r["n"] for r in pairs})
+
     def coverage(self, said: str) -> float:
         """Share of the characters that dictionary words cover, longest word first from the left."""
         said, place, covered = said.lower(), 0, 0
@@ -306,10 +333,10 @@ def sample_of_prose(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 
 def train(docs: DataFrame, labelled: list[tuple[str, int, int, bool]] | None = None, **columns: str) -> Model:
-    """The model, from labelled findings (text, start, end, is a secret) and a bounded sample of prose."""
+    """The model, from labelled findings (text, start, end, is a secret) and the words of all documents."""
     texts = sample_of_prose(docs, **columns)
     rows = findings(texts) if labelled is None else labelled
-    prose = Prose.of(texts)
+    prose = Prose.of_all(docs, columns.get("text", "text"))
     x = np.array([features(t, a, b, prose) for t, a, b, _ in rows])
     return Model(prose, grow(x, np.array([float(s) for *_, s in rows])))
 

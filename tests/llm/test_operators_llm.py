@@ -92,6 +92,19 @@ def test_unquoted_secrets_are_found(spark):
     assert [len(model.found(t)[1]) for t in said] == [1, 1, 0, 0]
 
 
+def test_prose_counts_all_documents(spark, monkeypatch):
+    monkeypatch.setattr(secrets, "PROSE_DOCS", 2)
+    texts = [f"common words and w{'abcdefghij'[i]}qzx" for i in range(10)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got, want = secrets.train(docs).prose, secrets.Prose.of(texts)
+    assert (got.words, got.pairs, got.rare) == (want.words, want.pairs, want.rare)
+    monkeypatch.setattr(secrets, "DICTIONARY", 6)
+    few = secrets.Prose.of_all(docs).words
+    assert len(few) == 6 and {"common", "words", "and"} <= few
+    monkeypatch.setattr(secrets, "DICTIONARY", 3)
+    assert secrets.Prose.of_all(docs).words == {"common", "words", "and"}
+
+
 def test_forest_on_kept_out_findings():
     rows = secrets.findings(["the lazy dog was here and there with other words of usual prose"], 3000, seed=1)
     prose = secrets.Prose.of(["the lazy dog was here and there with other words of usual prose"])
