@@ -1,11 +1,12 @@
-"""Near-duplicate join on word 5-grams: a MinHash LSH forest finds candidates, exact Jaccard decides.
+"""Near-duplicate join on word 5-grams: MinHash prefixes find candidates, exact Jaccard decides.
 
 1. *Copies.* A text is its words (letters, digits, all beyond ASCII; A-Z as a-z). Texts of equal words share a
    digest and are one representative from then on, with a count; copies are never paired.
-2. *Forest.* Each representative has ``trees`` signatures of ``longest`` MinHash values. A trie over the sorted
-   signatures of a tree holds texts with a common prefix in one node. Starting at the longest prefix, prefixes
-   are shortened until two texts of the asked similarity share a node of some tree with at least the target
-   probability (:func:`prefix_length`); texts that share a node are candidates of each other.
+2. *Candidates.* Each representative has ``trees`` keys, a key being the first MinHash values of a tree. All use
+   the longest prefix at which two texts of the asked similarity share a key with at least the target
+   probability (:func:`prefix_length`); texts that share a key are candidates of each other. This is banding: one
+   prefix length for the whole table, not an LSH forest that shortens prefixes text by text. What is lost is
+   1 - :func:`expected_recall` of the pairs that are just similar enough, and less of those more alike.
 3. *Groups.* Nodes are not expanded into pairs: each links its texts to its smallest, and connected texts make a
    candidate group. A group is cut into blocks by size, and a pair of blocks is the unit of work, so a group
    of any size is spread over many tasks and none holds more than two blocks.
@@ -36,9 +37,9 @@ from reqlytics.sources.warehouse import materialise_counted
 
 SHINGLE = 5
 SIMILARITY = 0.8
-TREES = 20
+TREES = 48
 LONGEST = 10
-TARGET = 0.995
+TARGET = 0.999999
 #: Bounds of one block of a candidate group.
 BLOCK_SHINGLES = 1 << 17
 BLOCK_TEXTS = 512
@@ -53,7 +54,7 @@ def expected_recall(trees: int, length: int, similarity: float) -> float:
 
 
 def prefix_length(trees: int, longest: int, similarity: float, target: float) -> int:
-    """The longest prefix at which the forest reaches the target recall; found by shortening."""
+    """The longest prefix at which the trees together reach the target recall; found by shortening."""
     length = longest
     while length > 1 and expected_recall(trees, length, similarity) < target:
         length -= 1
@@ -102,7 +103,7 @@ def tree_keys(grams: np.ndarray, places: np.ndarray, trees: int, length: int) ->
 def signatures(
     docs: DataFrame, keep: list[str], text: str, trees: int, length: int, with_keys: bool = True
 ) -> DataFrame:
-    """``keep``, with ``digest`` (null without words), ``n_grams`` and the keys of the forest."""
+    """``keep``, with ``digest`` (null without words), ``n_grams`` and the keys of its trees."""
 
     def compute(batch: pa.RecordBatch) -> dict:
         digests: list[bytes | None] = []

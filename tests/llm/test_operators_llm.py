@@ -298,6 +298,15 @@ def test_forest_depth():
     assert jaccard.prefix_length(20, 10, 0.8, 0.0) == 10
 
 
+def test_just_similar_pairs_share_a_key():
+    """10,000 pairs of similarity 0.8: 8 shingles of 10 in common."""
+    grams = np.random.default_rng(11).integers(0, 1 << 63, (10_000, 10)).astype(np.uint64)
+    texts = np.stack([grams[:, :9], np.concatenate([grams[:, :8], grams[:, 9:]], 1)], 1).ravel()
+    length = jaccard.prefix_length(jaccard.TREES, jaccard.LONGEST, jaccard.SIMILARITY, jaccard.TARGET)
+    keys = jaccard.tree_keys(texts, np.arange(20_001) * 9, jaccard.TREES, length)
+    assert (keys[::2] == keys[1::2]).any(1).all()
+
+
 def test_blocks_lose_no_link(spark, monkeypatch):
     """A large group of near copies, cut into many blocks, has the links of one that is not cut."""
     base = [f"w{i}" for i in range(60)]
