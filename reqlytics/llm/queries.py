@@ -5,7 +5,21 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reqlytics.llm import chat, decontaminate, jaccard, licences, maxent, pivots, quality, secrets, tokens, urls
+from reqlytics.llm import (
+    chat,
+    collocations,
+    decontaminate,
+    divergence,
+    jaccard,
+    licences,
+    maxent,
+    pivots,
+    quality,
+    secrets,
+    simhash,
+    tokens,
+    urls,
+)
 from reqlytics.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -65,6 +79,18 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", "class_size", "n_links")
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.components(table(spark, sf_dir, "documents"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mined(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_licence_scan": op2_licence_scan,
@@ -76,4 +102,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_top_k": op9_top_k,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_simhash": op11_simhash,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_collocations": op13_collocations,
 }

@@ -26,7 +26,7 @@ def texts(spark):
 
 def test_all_are_registered():
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES} == set(range(1, 14))
 
 
 @pytest.mark.parametrize("name", list(ORACLE))
