@@ -5,13 +5,14 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T  # noqa: E402
 
 from fixtures import derived, oracle  # noqa: E402
-from fixtures.world import strict_contract, with_faults, world  # noqa: E402
+from fixtures.world import strict_contract, with_faults, with_gold_faults, world  # noqa: E402
 from reqlytics.functions.keys import quarter_code  # noqa: E402
 from reqlytics.operators import canonical, median, periods, quadrant  # noqa: E402
 from reqlytics.operators.joins import lookup_join  # noqa: E402
@@ -25,7 +26,17 @@ from reqlytics.plans import (  # noqa: E402
     validation,
 )
 from reqlytics.plans import silver as silver_plan  # noqa: E402
-from reqlytics.sources.warehouse import run_query, scratch_root  # noqa: E402
+from reqlytics.plans.medallion import Medallion  # noqa: E402
+from reqlytics.plans.load import (  # noqa: E402
+    ReleaseRejected,
+    bronze_table,
+    load_release,
+    read_bronze,
+    read_dropped,
+    read_manifest,
+)
+from reqlytics.sources.releases import map_headers, mapped_rows, read_release  # noqa: E402
+from reqlytics.sources.warehouse import Warehouse, run_query, scratch_root  # noqa: E402
 
 try:  # the training-data operators can be left out of a build
     from reqlytics.llm.oracle import ORACLE as LLM_ORACLE  # noqa: E402
@@ -191,6 +202,42 @@ def c1_validation_warnings(spark, sf):
     return report.withColumn("source_path", w.release_of(F.col("source_path")))
 
 
+def c1_rule_reactions(spark, sf):
+    """Every reaction to repeated headers, rows of no layout and unknown time bands, per release."""
+    w = world(spark, sf)
+
+    def judged(reaction: str) -> DataFrame:
+        report = validation.validate_release(w.release, derived.contract_with(reaction))
+        return report.select(
+            F.lit(reaction).alias("reaction"),
+            w.release_of(F.col("source_path")).alias("release"),
+            "status",
+            F.size("errors").alias("n_errors"),
+            F.size("warnings").alias("n_warnings"),
+            "embedded_header_rows", "unknown_layout_rows", "layout_a", "layout_b",
+            "invalid_time_band", "time_band_examples", "dropped_rows",
+        )
+
+    return reduce(DataFrame.unionByName, [judged(r) for r in ("warn", "drop_and_log", "fail")])
+
+
+def c1_dropped_rows(spark, sf):
+    """The log of the rows that a contract drops, written and published with the load."""
+    w = world(spark, sf)
+    warehouse = Warehouse(spark, scratch_root(spark))
+    load_release(warehouse, w.releases, w.quarter_of_file, derived.contract_with("drop_and_log"))
+    return read_dropped(warehouse).select("source_quarter", "source_row_number", "rule", "value")
+
+
+def c3_silver_without_dropped(spark, sf):
+    """Silver of a contract that drops rows, and what its reconciliation expects, per quarter."""
+    w, contract = world(spark, sf), derived.contract_with("drop_and_log")
+    built = silver_plan.build_silver(w.bronze, contract)
+    return built.groupBy("source_quarter", "source_layout").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("time_band").alias("banded"), F.sum("source_row_number").alias("row_sum")
+    )
+
+
 def c1_validation_failures(spark, sf):
     """Releases with a fault each: what cannot be read in full is refused, with its reasons."""
     path = f"{scratch_root(spark)}/faulty"
@@ -229,6 +276,52 @@ def s6_row_numbers(spark, sf):
     )
 
 
+def s6_records_across_lines(spark, sf):
+    """Releases whose cells hold line ends, read in many splits: every row as stored, with its number in the sheet."""
+    w = world(spark, sf)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")  # small files here: a release is cut all the same
+    try:
+        release = read_release(spark, w.spanning_releases, w.contract)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    rows = mapped_rows(release, map_headers(release.headers, w.contract), w.contract)
+    return rows.withColumn("source_path", w.release_of(F.col("source_path")))
+
+
+def s10_failed_load(spark, sf):
+    """All releases are loaded, and one year again with a batch that a gate turns down: its quarters stay as they were."""
+    w = world(spark, sf)
+    warehouse = Warehouse(spark, scratch_root(spark))
+    first = load_release(warehouse, w.releases, w.quarter_of_file, w.contract, batch_id="first")
+
+    def gate(batch: DataFrame) -> None:
+        if not batch.where("source_quarter LIKE '1996Q%'").isEmpty():
+            raise ReleaseRejected("this year is not wanted")
+
+    try:
+        load_release(warehouse, f"{w.releases}/release=199[67]Q*", w.quarter_of_file, w.contract, gate, "second")
+        outcome = "loaded"
+    except ReleaseRejected as problem:
+        outcome = str(problem)
+    stored = read_bronze(warehouse, w.contract).groupBy("source_quarter", "batch_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    files = first.groupBy("source_quarter").agg(F.count(F.lit(1)).alias("n_files"))
+    entries = len(bronze_table(warehouse).entries())
+    return stored.join(files, "source_quarter").withColumn("outcome", F.lit(outcome)).withColumn("n_entries", F.lit(entries))
+
+
+def s11_repeated_commit(spark, sf):
+    """A load that is repeated under its batch id: one entry in the log, every file once in the manifest."""
+    w = world(spark, sf)
+    warehouse = Warehouse(spark, scratch_root(spark))
+    for _ in range(2):
+        load_release(warehouse, f"{w.releases}/release=199[67]Q*", w.quarter_of_file, w.contract, batch_id="again")
+    manifest = read_manifest(warehouse).groupBy("source_quarter", "batch_id").agg(
+        F.count(F.lit(1)).alias("n_files"), F.sum("rows_loaded").alias("rows_loaded")
+    )
+    return manifest.withColumn("n_entries", F.lit(len(bronze_table(warehouse).entries())))
+
+
 def s9_partition_overwrite(spark, sf):
     """One year is loaded a second time: its quarters are replaced, the others stay."""
     w = world(spark, sf)
@@ -257,7 +350,7 @@ def s10_row_reconcile(spark, sf):
 def s11_manifest(spark, sf):
     w = world(spark, sf)
     batch = w.manifest.select("batch_id").distinct()
-    stored = spark.read.schema(w.manifest.schema).json(w.warehouse.path("manifests", "loads"))
+    stored = read_manifest(w.warehouse)
     this_load = stored.join(F.broadcast(batch), "batch_id", "left_semi")  # one row: one load, one batch
     return this_load.groupBy("source_quarter", F.col("validation.status").alias("status")).agg(
         F.sum("rows_loaded").alias("rows_loaded"),
@@ -268,6 +361,37 @@ def s11_manifest(spark, sf):
     )
 
 
+def s14_rebuild_by_partition(spark, sf):
+    """One quarter is loaded again with another year's release: only its partitions are built a second time."""
+    w = world(spark, sf)
+    warehouse = Warehouse(spark, scratch_root(spark))
+    table = bronze_table(warehouse)
+
+    def refreshed() -> Medallion:
+        job = Medallion(warehouse, read_bronze(warehouse, w.contract), w.issue_map, w.location_map, w.contract)
+        job.refresh(table.current(), stop=False)
+        return job
+
+    load_release(warehouse, w.releases, w.quarter_of_file, w.contract)
+    first = set(run for _, run in refreshed().built_from().values())
+    load_release(warehouse, f"{w.releases}/release=1997Q1*", "1996Q1", w.contract)
+    again = sorted(q for q, (_, run) in refreshed().built_from().items() if run not in first)
+    gold = {n: spark.read.parquet(warehouse.path("gold", n)) for n in ("fact_requests", "issue_performance", "hour_counts")}
+    fact = gold["fact_requests"].groupBy("source_quarter").agg(F.count(F.lit(1)).alias("n_rows"))
+    mart = gold["issue_performance"].groupBy("source_quarter").agg(F.sum("total_requests").alias("in_mart"))
+    hours = gold["hour_counts"].groupBy("source_quarter").agg(F.sum("repeated").alias("repeated"))
+    joined = fact.join(mart, "source_quarter").join(hours, "source_quarter")
+    return joined.withColumn("is_rebuilt", F.col("source_quarter").isin(again))
+
+
+def a11_stored_counts(spark, sf):
+    """Headline figures of several periods from the stored counts alone."""
+    w = world(spark, sf)
+    chosen = {"first": ["1992Q1"], "pair": ["1992Q2", "1997Q3"], "year": PERIOD, "all": None}
+    parts = [kpis.kpis(w.layers.hours, q).withColumn("period", F.lit(name)) for name, q in chosen.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def s13_seed_scan(spark, sf):
     return world(spark, sf).location_map
 
@@ -283,13 +407,14 @@ def _tables(spark: SparkSession, sf: str, faulty: bool = False) -> quality.Table
         "dim_location": m.dim_location, "dim_status": m.dim_status,
         "fact": m.fact, "rpt": m.rpt, "mart": m.mart,
     }
-    return quality.Tables(frames)
+    return quality.Tables(with_gold_faults(frames) if faulty else frames)
 
 
-def checks_of(*kinds: str) -> Query:
+def checks_of(*kinds: str, faulty: bool = False) -> Query:
+    """All checks of some kinds; ``faulty``: on layers with seeded faults, so that each has something to find."""
     def run(spark, sf):
         chosen = [c for c in quality.all_checks(derived.CONTRACT) if c.kind in kinds]
-        return quality.run_checks(_tables(spark, sf), chosen, derived.CONTRACT)
+        return quality.run_checks(_tables(spark, sf, faulty), chosen, derived.CONTRACT)
 
     return run
 
@@ -315,9 +440,13 @@ def failing(rule: str) -> Query:
     return lambda spark, sf: quality.failing_rows(with_faults(world(spark, sf).layers.silver), rule)
 
 
-def reconciliation(name: str) -> Query:
+def reconciliation(name: str, faulty: bool = False) -> Query:
     def run(spark, sf):
-        return quality.reconcile(*quality.totals(_tables(spark, sf), name, derived.CONTRACT))
+        tables = _tables(spark, sf, faulty)
+        if faulty:  # rows are lost on the way to Silver
+            lost = tables.frames | {"silver": tables["silver"].where("source_row_number % 83 <> 0")}
+            tables = quality.Tables(lost)
+        return quality.reconcile(*quality.totals(tables, name, derived.CONTRACT))
 
     return run
 
@@ -361,11 +490,9 @@ def d2_lineitem_median_matrix(spark, sf):
         (F.col("l_returnflag") == "R").alias("is_returned"),
     )
     typed = lookup_join(lines, parts, "l_partkey", "inner", F.col("line"))
-    counts = typed.groupBy("period", "p_type", "l_extendedprice").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if("is_returned").alias("returned")
-    )
-    cells = median.aggregate_with_median(
-        counts, ["period", "p_type"], "l_extendedprice", "n",
+    cells = median.aggregate_rows_with_median(
+        typed, ["period", "p_type"], "l_extendedprice",
+        [F.count(F.lit(1)).alias("n"), F.count_if("is_returned").alias("returned")],
         [F.sum("n").alias("line_items"), F.sum("returned").alias("returned")],
         "median_price",
     ).withColumn("return_rate", F.try_divide("returned", "line_items"))
@@ -376,15 +503,35 @@ def d2_lineitem_median_matrix(spark, sf):
 
 
 def a10_median_by_rank(spark, sf):
-    """The median by rank selection, the way taken for groups with too many distinct values."""
+    """The median by rank selection straight from the rows, the way taken for groups with too many distinct values."""
+    return median.aggregate_rows_with_median(
+        derived.table(spark, sf, "lineitem"), ["l_returnflag", "l_linestatus"], "l_extendedprice",
+        [F.count(F.lit(1)).alias("n")], [F.sum("n").alias("line_items")], "median_price", max_values=0,
+    )
+
+
+def a10_median_by_counts(spark, sf):
+    """The same from a count table, by rank selection over counted values."""
     counts = (
         derived.table(spark, sf, "lineitem")
-        .groupBy("l_returnflag", "l_linestatus", "l_extendedprice")
+        .groupBy("l_returnflag", "l_quantity")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     return median.aggregate_with_median(
-        counts, ["l_returnflag", "l_linestatus"], "l_extendedprice", "n",
-        [F.sum("n").alias("line_items")], "median_price", max_values=0,
+        counts, ["l_returnflag"], "l_quantity", "n", [F.sum("n").alias("line_items")], "median_quantity", max_values=0,
+    )
+
+
+def a10_median_mixed(spark, sf):
+    """Groups of many and of few rows, of values that repeat and of those that do not, in one call."""
+    lines = derived.table(spark, sf, "lineitem").select(
+        F.when(F.col("l_linenumber") == 1, "first").otherwise(F.col("l_suppkey").cast("string")).alias("kind"),
+        F.col("l_extendedprice").alias("v"),
+    )
+    hours = derived.table(spark, sf, "lineitem").select(F.lit(None).cast("string").alias("kind"), F.col("l_quantity").cast("double").alias("v"))
+    return median.aggregate_rows_with_median(
+        lines.unionByName(hours), ["kind"], "v", [F.count(F.lit(1)).alias("n")], [F.sum("n").alias("line_items")],
+        "median_value", max_values=500,
     )
 
 
@@ -428,6 +575,8 @@ def d3_events_period_delta(spark, sf):
 
 
 REGISTERED: dict[str, Query] = {
+    "c1_rule_reactions": c1_rule_reactions,
+    "c1_dropped_rows": c1_dropped_rows,
     "c1_validation_report": c1_validation_report,
     "c1_validation_warnings": c1_validation_warnings,
     "c1_validation_failures": c1_validation_failures,
@@ -435,6 +584,7 @@ REGISTERED: dict[str, Query] = {
     "c1_validation_strict": c1_validation_strict,
     "c2_bronze_lineage": c2_bronze_lineage,
     "c3_silver": c3_silver,
+    "c3_silver_without_dropped": c3_silver_without_dropped,
     "c4_dim_date": c4_dim_date,
     "c5_dim_issue": c5_dim_issue,
     "c6_dim_location": c6_dim_location,
@@ -470,24 +620,33 @@ REGISTERED: dict[str, Query] = {
     "p41_placed": p41_placed,
     "s4_file_sha256": s4_file_sha256,
     "s6_row_numbers": s6_row_numbers,
+    "s6_records_across_lines": s6_records_across_lines,
     "s9_partition_overwrite": s9_partition_overwrite,
+    "s10_failed_load": s10_failed_load,
+    "s11_repeated_commit": s11_repeated_commit,
     "s10_row_reconcile": s10_row_reconcile,
     "s11_manifest": s11_manifest,
     "s13_seed_scan": s13_seed_scan,
+    "s14_rebuild_by_partition": s14_rebuild_by_partition,
     "s16_parameterised_sql": s16_parameterised_sql,
     "q1_unique": checks_of("unique"),
+    "q1_unique_faults": checks_of("unique", faulty=True),
     "q2_not_null": checks_of("not_null"),
     "q3_accepted_values": checks_of("accepted"),
     "q4_foreign_keys": checks_of("reference"),
+    "q4_foreign_keys_faults": checks_of("reference", faulty=True),
     "q5_fault_severity": q5_fault_severity,
     "q6_mapping_warnings": checks_of("unmapped"),
     "q7_unmapped_issues": q7_unmapped_issues,
     "q8_unmapped_locations": q8_unmapped_locations,
     "q9_negative_hours": failing("closure_hours_negative"),
     "q10_mart_reconciles": reconciliation("mart_reconciles_with_fact"),
+    "q10_mart_reconciles_faults": reconciliation("mart_reconciles_with_fact", faulty=True),
     "q11_outside_quarter": failing("received_outside_quarter"),
     "q12_rpt_reconciles": reconciliation("rpt_reconciles_with_fact"),
+    "q12_rpt_reconciles_faults": reconciliation("rpt_reconciles_with_fact", faulty=True),
     "q13_silver_reconciles": reconciliation("silver_reconciles_with_bronze"),
+    "q13_silver_reconciles_faults": reconciliation("silver_reconciles_with_bronze", faulty=True),
     "q14_band_layout": failing("time_band_against_layout"),
     "q16_suite_summary": q16_suite_summary,
     "n1_variants": n1_variants,
@@ -498,8 +657,11 @@ REGISTERED: dict[str, Query] = {
     "d2_lineitem_median_matrix": d2_lineitem_median_matrix,
     "d3_events_period_delta": d3_events_period_delta,
     "a10_median_by_rank": a10_median_by_rank,
+    "a10_median_by_counts": a10_median_by_counts,
+    "a10_median_mixed": a10_median_mixed,
     "a10_median_narrow_range": a10_median_narrow_range,
     "a11_global_median_by_rank": a11_global_median_by_rank,
+    "a11_stored_counts": a11_stored_counts,
 }
 
 

@@ -8,9 +8,12 @@ derivation in SQL.
 
 from __future__ import annotations
 
+from dataclasses import replace
+from types import MappingProxyType
+
 from pyspark.sql import Window, Column, DataFrame, SparkSession, functions as F
 
-from reqlytics.contract import Column as Field, Contract, Labels
+from reqlytics.contract import Column as Field, Contract, Labels, Layout
 
 HEADER_WORD = "issue_type"
 LOCATION_MISSING = "NOT IN SOURCE"
@@ -187,7 +190,7 @@ def coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def faulty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(release, line, value)`` of one small release per nation, with a row per customer and a fault that
-    depends on the nation: 1 title only, 2 a wider row, 3 a quoted line end, 4 a column missing, 5 header only."""
+    depends on the nation: 1 title only, 2 a wider row, 3 a quote without end, 4 a column missing, 5 header only."""
     rows = table(spark, sf_dir, "customer").select(
         F.col("c_nationkey").alias("release"),
         F.col("c_custkey").alias("line"),
@@ -199,7 +202,7 @@ def faulty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = (
         F.when(fault == 4, body)
         .when((fault == 2) & first, F.concat(body, F.lit(",repeated,more")))
-        .when((fault == 3) & first, F.concat(F.lit('"two\nlines",place,done,5,1998-01-01,repeated')))
+        .when((fault == 3) & first, F.concat(F.lit('"two\nlines,place,done,5,1998-01-01,repeated')))
         .otherwise(F.concat(body, F.lit(",repeated")))
     )
     data = rows.where(~fault.isin(1, 5)).select("release", "line", value.alias("value"))
@@ -210,3 +213,28 @@ def faulty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     titles = nations.select("release", F.lit(-2).alias("line"), F.lit("requests").alias("value"))
     headers = nations.where(fault != 1).select("release", F.lit(-1).alias("line"), header.alias("value"))
     return titles.unionByName(headers).unionByName(data)
+
+
+def with_line_ends(rows: DataFrame) -> DataFrame:
+    """Bronze rows whose places and flags hold line ends, quotes and commas in some requests."""
+    row = F.col("source_row_number")
+    more = F.concat(F.coalesce("location_raw", F.lit("")), F.lit('\n"near",\n\nno. '), row.cast("string"))
+    flag = F.concat(F.lit("\n"), F.col("repeat_flag_raw"))
+    return rows.withColumn("location_raw", F.when(every(3, row), more).otherwise(F.col("location_raw"))).withColumn(
+        "repeat_flag_raw", F.when(every(7, row), flag).otherwise(F.col("repeat_flag_raw"))
+    )
+
+
+# contract whose layouts leave rows over: hours that are no number belong to neither
+NO_DEFAULT = (
+    Layout("B", "closure_slot_raw", r"^\d{2}:\d{2} \d{2}:\d{2}$", swapped=True),
+    Layout("A", "closure_slot_raw", r"^\d+$"),
+)
+
+
+def contract_with(reaction: str) -> Contract:
+    """One reaction to repeated headers, rows of no layout and unknown time bands alike."""
+    rules = {"embedded_header_row": reaction, "unknown_layout_row": reaction, "unknown_time_band": reaction}
+    return replace(
+        CONTRACT, layouts=NO_DEFAULT, time_bands=tuple(BANDS[1:]), rules=MappingProxyType({**CONTRACT.rules, **rules})
+    )

@@ -8,6 +8,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fixtures import derived
+from reqlytics.contract import Layout
 from reqlytics.plans.load import load_release, read_bronze
 from reqlytics.plans.medallion import Medallion
 from reqlytics.sources import seeds
@@ -60,10 +61,18 @@ class World:
     @cached_property
     def releases(self) -> str:
         """Text releases with title, header and data lines; a release holds a bounded run of keys."""
-        path = f"{self.warehouse.root}/releases"
+        return self._written("releases", self.bronze)
+
+    @cached_property
+    def spanning_releases(self) -> str:
+        """The same releases with line ends, quotes and commas inside their cells."""
+        return self._written("spanning", derived.with_line_ends(self.bronze))
+
+    def _written(self, name: str, bronze: DataFrame) -> str:
+        path = f"{self.warehouse.root}/{name}"
         key = F.col("source_row_number")
         part = F.floor(key / RELEASE_ROWS).cast("string")
-        rows = self.bronze.withColumn("release", F.concat_ws("-", "source_quarter", part))
+        rows = bronze.withColumn("release", F.concat_ws("-", "source_quarter", part))
         fields = F.struct(*[F.col(c) for c in self.contract.column_names])
         data = rows.select("release", key.alias("line"), F.to_csv(fields, PLAIN_CSV).alias("value"))
         top = data.select("release").distinct().select(
@@ -98,9 +107,12 @@ class World:
         """Load all releases; the quarter is read from the release's name."""
         return self.load(self.releases)
 
+    @property
+    def quarter_of_file(self) -> Column:
+        return F.substring(self.release_of(F.col("source_path")), 1, 6)
+
     def load(self, path: str) -> DataFrame:
-        quarter = F.substring(self.release_of(F.col("source_path")), 1, 6)
-        return load_release(self.warehouse, path, quarter, self.contract)
+        return load_release(self.warehouse, path, self.quarter_of_file, self.contract)
 
     @property
     def loaded(self) -> DataFrame:
@@ -122,7 +134,7 @@ def strict_contract():
     """A contract that knows fewer values than the releases hold, so that every warning fires."""
     return replace(
         derived.CONTRACT,
-        layout_b_pattern="^00:00 06:00$",
+        layouts=(Layout("B", "closure_slot_raw", "^00:00 06:00$", swapped=True), Layout("A")),
         statuses=("done",),
         repeat_flags=("repeated",),
     )
@@ -146,3 +158,27 @@ def with_faults(silver: DataFrame) -> DataFrame:
         "source_layout": spoil(61, "source_layout", F.lit("C")),
     }
     return silver.select(*[faults.get(c, F.col(c)) for c in silver.columns])
+
+
+def with_gold_faults(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Fact, report, mart and dimensions with repeated keys, keys without a parent, and rows that are gone or doubled."""
+    fact, rpt, mart, status = (frames[n] for n in ("fact", "rpt", "mart", "dim_status"))
+    start = F.substring("request_sk", 1, 2)
+
+    def spoil(hexes: str, column: str, value: Column) -> Column:
+        return F.when(start == hexes, value).otherwise(F.col(column)).alias(column)
+
+    faults = {
+        "date_key": spoil("a1", "date_key", F.lit(10101)),
+        "issue_key": spoil("b2", "issue_key", F.lit("nothing")),
+        "location_key": spoil("c3", "location_key", F.lit("nowhere")),
+        "status_code": spoil("d4", "status_code", F.lit("lost")),
+    }
+    spoiled = fact.select(*[faults.get(c, F.col(c)) for c in fact.columns])
+    twice = spoiled.unionByName(spoiled.where(start == "e5"))
+    return frames | {
+        "fact": twice,
+        "rpt": rpt.where(start != "f6"),
+        "mart": mart.withColumn("total_requests", F.col("total_requests") + 1),
+        "dim_status": status.unionByName(status.where("status_code = 'completed'")),
+    }

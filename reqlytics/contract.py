@@ -11,7 +11,9 @@ from dataclasses import dataclass, field
 from types import MappingProxyType
 from typing import Mapping
 
-FAIL, WARN, DROP = "fail", "warn", "drop_and_log"
+FAIL, WARN, DROP = REACTIONS = ("fail", "warn", "drop_and_log")
+#: Rules about single rows, which alone can be dropped.
+ROW_RULES = ("embedded_header_row", "unknown_layout_row", "unknown_status", "unknown_repeat_flag", "unknown_time_band")
 
 # ---- Fixed values: they must equal what the published releases contain -------------------------
 ISSUE_HEADERS = ("نوع البلاغ",)
@@ -61,9 +63,25 @@ class Column:
     required: bool = True
 
 
+@dataclass(frozen=True)
+class Layout:
+    """How the two slots are to be read where ``column`` matches ``pattern``; without a pattern: all other rows.
+
+    ``swapped``: the closure slot holds a time band and the status slot the hours.
+    """
+
+    name: str
+    column: str = ""
+    pattern: str = ""
+    swapped: bool = False
+
+
 @dataclass(frozen=True)
 class Contract:
-    """Columns, layouts, accepted values and the reaction to each kind of problem."""
+    """Columns, layouts, accepted values and the reaction to each kind of problem.
+
+    Layouts are tried in order. Without one that takes all other rows, a row may have none (``unknown_layout_row``).
+    """
 
     columns: tuple[Column, ...] = (
         Column("issue_type_raw", ISSUE_HEADERS),
@@ -75,8 +93,7 @@ class Contract:
     )
     header_row: int = HEADER_ROW_INDEX
     expected_columns: int = 6
-    layout_b_column: str = "closure_slot_raw"
-    layout_b_pattern: str = TIME_BAND_PATTERN
+    layouts: tuple[Layout, ...] = (Layout("B", "closure_slot_raw", TIME_BAND_PATTERN, swapped=True), Layout("A"))
     statuses: tuple[str, ...] = (STATUS_COMPLETED, STATUS_IN_PROGRESS)
     repeat_flags: tuple[str, ...] = (REPEATED, NOT_REPEATED)
     time_bands: tuple[str, ...] = TIME_BANDS
@@ -88,8 +105,11 @@ class Contract:
                 "missing_required_column": FAIL,
                 "unexpected_column": WARN,
                 "column_count_mismatch": FAIL,
+                "unknown_layout_row": WARN,
+                "embedded_header_row": DROP,
                 "unknown_status": WARN,
                 "unknown_repeat_flag": WARN,
+                "unknown_time_band": WARN,
             }
         )
     )
@@ -106,12 +126,25 @@ class Contract:
         return self.aliases("issue_type_raw")
 
 
+def _layouts(doc: Mapping[str, Mapping]) -> tuple[Layout, ...]:
+    """Layouts of a contract document: those with a pattern in the document's order, then the default one."""
+    found = [
+        Layout(name, spec.get("detect_column", ""), spec.get("detect_pattern", ""), bool(spec.get("slots_swapped", name == "B")))
+        for name, spec in doc.items()
+    ]
+    for layout, spec in zip(found, doc.values()):
+        if not layout.pattern and not spec.get("default"):
+            raise ValueError(f"layout {layout.name} has neither a pattern nor is it the default")
+    return tuple(sorted(found, key=lambda layout: not layout.pattern))
+
+
 def load_contract(path: str) -> Contract:
     """Read a contract document (JSON, or YAML where a YAML reader is installed).
 
     Sections: ``file`` (header_row, expected_column_count), ``columns`` (name -> aliases,
-    required), ``layouts.B`` (detect_column, detect_pattern), ``accepted_values`` and ``rules``.
-    Whatever a document leaves out keeps the default of :class:`Contract`.
+    required), ``layouts`` (name -> detect_column, detect_pattern, slots_swapped, or default), ``accepted_values``
+    and ``rules``. Whatever a document leaves out keeps the default of :class:`Contract`; a reaction or a rule
+    that does not exist is an error.
     """
     with open(path, encoding="utf-8") as handle:
         text = handle.read()
@@ -125,7 +158,10 @@ def load_contract(path: str) -> Contract:
         doc = yaml.safe_load(text)
 
     base = Contract()
-    layout_b = doc.get("layouts", {}).get("B", {})
+    rules = {**base.rules, **doc.get("rules", {})}
+    for rule, reaction in rules.items():
+        if rule not in base.rules or reaction not in REACTIONS or (reaction == DROP and rule not in ROW_RULES):
+            raise ValueError(f"rule {rule}: {reaction} is not a reaction to it")
     accepted = doc.get("accepted_values", {})
     statuses = tuple(accepted.get("status_ar", base.statuses))
     flags = tuple(accepted.get("repeat_flag_ar", base.repeat_flags))
@@ -137,8 +173,7 @@ def load_contract(path: str) -> Contract:
         columns=columns or base.columns,
         header_row=int(doc.get("file", {}).get("header_row", base.header_row)),
         expected_columns=int(doc.get("file", {}).get("expected_column_count", base.expected_columns)),
-        layout_b_column=layout_b.get("detect_column", base.layout_b_column),
-        layout_b_pattern=layout_b.get("detect_pattern", base.layout_b_pattern),
+        layouts=_layouts(doc["layouts"]) if "layouts" in doc else base.layouts,
         statuses=statuses,
         repeat_flags=flags,
         time_bands=tuple(accepted.get("time_band", base.time_bands)),
@@ -148,5 +183,5 @@ def load_contract(path: str) -> Contract:
             repeated=flags[0],
             not_repeated=flags[1] if len(flags) > 1 else base.labels.not_repeated,
         ),
-        rules=MappingProxyType({**base.rules, **doc.get("rules", {})}),
+        rules=MappingProxyType(rules),
     )

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, functions as F
 
+from reqlytics.contract import Layout
+
 # The characters with the Unicode White_Space property. Spark's own trim() knows
 # only the plain space, so the set is passed to btrim(), which stays inside generated code.
 UNICODE_SPACES = (
@@ -45,6 +49,16 @@ def is_header_text(c: Column, headers: list[str]) -> Column:
     return F.coalesce(maybe & squeeze(c).isin(headers), F.lit(False))
 
 
-def is_layout_b(closure_slot: Column, pattern: str) -> Column:
-    """True where the closure slot holds a time band; null slots are not B."""
-    return F.coalesce(closure_slot.rlike(pattern), F.lit(False))
+def layout_of(cell: Callable[[str], Column], layouts: Sequence[Layout]) -> Column:
+    """Name of the first layout that a row matches, by its cleaned cells; null where it matches none."""
+    found = F.lit(None).cast("string")
+    for layout in reversed(layouts):
+        name = F.lit(layout.name)
+        found = F.when(cell(layout.column).rlike(layout.pattern), name).otherwise(found) if layout.pattern else name
+    return found
+
+
+def is_swapped(layout: Column, layouts: Sequence[Layout]) -> Column:
+    """True where a layout's slots hold each other's content."""
+    names = [x.name for x in layouts if x.swapped]
+    return F.coalesce(layout.isin(names), F.lit(False)) if names else F.lit(False)

@@ -11,6 +11,13 @@ from reqlytics.operators.joins import lookup_join
 UNMAPPED = "UNMAPPED"
 
 
+def silver_places(silver: DataFrame) -> DataFrame:
+    """All that the dimensions take from Silver, per quarter: a few rows for each place, with its first and last date."""
+    return silver.groupBy("source_quarter", "location_ar", "is_municipality_level", "is_location_missing").agg(
+        F.min("received_date").alias("first_date"), F.max("received_date").alias("last_date")
+    )
+
+
 def build_dim_date(silver: DataFrame) -> DataFrame:
     """Every calendar day from the first to the last received date; empty without any date."""
     span = silver.agg(F.min("received_date").alias("first"), F.max("received_date").alias("last"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from reqlytics.contract import Contract
 from reqlytics.functions.casts import safe_double
-from reqlytics.functions.text import is_header_text, is_layout_b, strip
+from reqlytics.functions.text import is_header_text, layout_of, strip
 from reqlytics.operators.median import aggregate_with_median
 from reqlytics.operators.runs import label_runs
 
@@ -14,8 +14,7 @@ from reqlytics.operators.runs import label_runs
 def with_layout(bronze: DataFrame, contract: Contract = Contract()) -> DataFrame:
     """Bronze requests (repeated header rows left out) with their layout."""
     header = is_header_text(F.col("issue_type_raw"), contract.issue_headers)
-    is_b = is_layout_b(strip(F.col(contract.layout_b_column)), contract.layout_b_pattern)
-    return bronze.where(~header).withColumn("source_layout", F.when(is_b, "B").otherwise("A"))
+    return bronze.where(~header).withColumn("source_layout", layout_of(lambda c: strip(F.col(c)), contract.layouts))
 
 
 def layout_runs(bronze: DataFrame, contract: Contract = Contract()) -> DataFrame:

@@ -1,8 +1,8 @@
 """Data-quality checks with severities, run per layer, that gate the next layer.
 
 A check is data: what it looks at and how many failures it tolerates. All row-level checks of a
-table share one aggregation over it; key checks count per key first, so a repeated or hot key is
-combined before the shuffle. A suite returns one row per declared check, and the number of rows is
+table share one aggregation over it; key checks count hashes of keys first, combined before the shuffle, and look at
+the keys themselves only where a hash repeats. A suite returns one row per declared check, and the number of rows is
 itself checked, because a check that silently did not run looks like a pass.
 """
 
@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from reqlytics.contract import Contract
 from reqlytics.functions.labels import GROUPS
-from reqlytics.functions.text import is_header_text
+from reqlytics.operators.joins import fits_broadcast
+from reqlytics.plans.rules import dropped
+from reqlytics.sources.warehouse import materialise
 
 ERROR, WARN = "error", "warn"
 
@@ -212,18 +214,44 @@ def _one_row_each(frame: DataFrame, checks: list[Check], columns: str) -> DataFr
     return frame.sparkSession.range(1).selectExpr(f"inline(array({rows}))")
 
 
-def _unique_checks(tables: Tables, checks: list[Check]) -> DataFrame:
-    """Per check the number of values that occur more than once; one shuffle for all tables.
+def repeated_hashes(tables: Tables, checks: list[Check]) -> DataFrame:
+    """``check`` and the 64-bit hashes that more than one key of it has: all that the exact count has to look at.
 
-    Missing keys are the null check's business.
+    Keys are long texts and nearly all differ, so a shuffle of the keys moves all of them for nothing. Of each key only
+    12 bytes are shuffled here, and what comes out is as small as the number of repeated keys.
     """
     parts = [
-        tables[c.table].selectExpr(f"{_quoted(c.name)} AS check_name", f"CAST(`{c.column}` AS string) AS k")
-        for c in checks
+        tables[c.table].where(f"`{c.column}` IS NOT NULL").selectExpr(
+            f"{i} AS check", f"xxhash64(CAST(`{c.column}` AS string)) AS h"
+        )
+        for i, c in enumerate(checks)
     ]
-    parts.append(_one_row_each(parts[0], checks, "CAST(NULL AS string) AS k"))
-    uses = reduce(DataFrame.unionAll, parts).groupBy("check_name", "k").agg(F.count(F.lit(1)).alias("n"))
-    return uses.groupBy("check_name").agg(F.expr("count_if(n > 1 AND k IS NOT NULL) AS failures"))
+    counted = reduce(DataFrame.unionAll, parts).groupBy("check", "h").agg(F.count(F.lit(1)).alias("n"))
+    return counted.where("n > 1").select("check", "h")
+
+
+def _unique_checks(tables: Tables, checks: list[Check]) -> DataFrame:
+    """Per check the number of values that occur more than once. Missing keys are the null check's business.
+
+    Keys are told apart by hash first; only keys whose hash repeats are brought together and compared as they are.
+    """
+    none = _one_row_each(tables[checks[0].table], checks, "0L AS failures")
+    suspects = materialise(repeated_hashes(tables, checks), "repeated_hashes")
+    hit = {r["check"] for r in suspects.select("check").distinct().collect()}
+    if not hit:
+        return none
+    small = fits_broadcast(suspects)
+    parts = []
+    for i in sorted(hit):
+        c = checks[i]
+        keys = tables[c.table].where(f"`{c.column}` IS NOT NULL").selectExpr(
+            f"{_quoted(c.name)} AS check_name", f"CAST(`{c.column}` AS string) AS k"
+        ).withColumn("h", F.xxhash64("k"))
+        mine = suspects.where(F.col("check") == i).select("h")
+        found = keys.join(F.broadcast(mine) if small else mine, "h", "left_semi")
+        uses = found.groupBy("check_name", "k").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        parts.append(uses.groupBy("check_name").agg(F.count(F.lit(1)).alias("failures")))
+    return reduce(DataFrame.unionAll, [none, *parts]).groupBy("check_name").agg(F.sum("failures").alias("failures"))
 
 
 def _lookup_checks(tables: Tables, checks: list[Check]) -> DataFrame:
@@ -258,9 +286,8 @@ def totals(tables: Tables, check_name: str, contract: Contract = Contract()) ->
         )
     if check_name == "rpt_reconciles_with_fact":
         return tables["fact"].agg(count), tables["rpt"].agg(count)
-    # the same cleaned text that Silver compares, so both agree on what a header row is
-    header = is_header_text(F.col("issue_type_raw"), contract.issue_headers)
-    return tables["bronze"].agg(F.count_if(~header).alias("n")), tables["silver"].agg(count)
+    # the same rules that Silver is built by, so both agree on what is dropped
+    return tables["bronze"].agg(F.count_if(~dropped(contract)).alias("n")), tables["silver"].agg(count)
 
 
 def reconcile(expected: DataFrame, actual: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Silver: one typed, flagged row per request. Nothing but repeated header rows is removed."""
+"""Silver: one typed, flagged row per request. Nothing is removed but what the contract drops: repeated header rows."""
 
 from __future__ import annotations
 
@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from reqlytics.contract import OUTLIER_HOURS, Contract
 from reqlytics.functions.casts import safe_datetime, safe_double
 from reqlytics.functions.keys import request_key
-from reqlytics.functions.text import is_header_text, is_layout_b, squeeze, strip
+from reqlytics.functions.text import is_swapped, layout_of, squeeze, strip
+from reqlytics.plans.rules import dropped
 
 LINEAGE = ["source_file", "source_row_number", "file_sha256", "batch_id", "ingested_at"]
 
@@ -16,26 +17,27 @@ def build_silver(bronze: DataFrame, contract: Contract = Contract()) -> DataFram
     """Map-only: no shuffle, no Python, one pass over Bronze.
 
     The meaning of two source columns depends on the row. In layout A the status slot holds the
-    status and the closure slot the hours; in layout B the closure slot holds a time band and the
-    status slot the hours.
+    status and the closure slot the hours; in layout B, and any other whose slots are swapped, the closure slot
+    holds a time band and the status slot the hours. A row of no layout is read like A.
     """
     words = contract.labels
     col = F.col
     # null issue types stay: a missing value is reported by the checks, not silently dropped
-    requests = bronze.where(~is_header_text(col("issue_type_raw"), contract.issue_headers))
+    requests = bronze.where(~dropped(contract))
     cleaned = requests.select(
         squeeze(col("issue_type_raw")).alias("issue_type_ar"),
         squeeze(col("location_raw")).alias("location_ar"),
         strip(col("status_slot_raw")).alias("_status_slot"),
         strip(col("closure_slot_raw")).alias("_closure_slot"),
+        layout_of(lambda c: strip(col(c)), contract.layouts).alias("source_layout"),
         safe_datetime(strip(col("received_raw"))).alias("received_at"),
         strip(col("repeat_flag_raw")).alias("repeat_flag_ar"),
         "source_quarter",
         *LINEAGE,
     )
 
-    layout_b = is_layout_b(col("_closure_slot"), contract.layout_b_pattern)
-    routed = cleaned.withColumn("_is_b", layout_b).select(
+    swapped = is_swapped(col("source_layout"), contract.layouts)
+    routed = cleaned.withColumn("_is_b", swapped).select(
         "*",
         F.when(~col("_is_b"), col("_status_slot")).alias("status_ar"),
         F.when(col("_is_b"), col("_closure_slot")).alias("time_band"),
@@ -51,7 +53,7 @@ def build_silver(bronze: DataFrame, contract: Contract = Contract()) -> DataFram
     return routed.select(
         request_key(col("file_sha256"), col("source_row_number")).alias("request_sk"),
         "source_quarter",
-        F.when(col("_is_b"), "B").otherwise("A").alias("source_layout"),
+        "source_layout",
         "issue_type_ar",
         "location_ar",
         ((place == words.municipality) | place.startswith(words.municipality + " ")).alias(

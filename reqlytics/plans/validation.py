@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from reqlytics.contract import FAIL, WARN, Contract
-from reqlytics.functions.text import is_layout_b, strip
+from reqlytics.contract import DROP, FAIL, WARN, Contract
+from reqlytics.functions.text import is_header_text, is_swapped, layout_of, strip
+from reqlytics.plans.rules import row_rules
 from reqlytics.sources.releases import Release, map_headers, mapped_rows, read_release
 from reqlytics.sources.warehouse import materialise
 
@@ -16,7 +19,7 @@ def structure_report(release: Release, contract: Contract = Contract()) -> DataF
     """Checks of every input file's shape; ``errors`` is empty where rows may be looked at.
 
     A file that cannot be read in full is an error whatever the contract says: one without a header row, and
-    one whose quoted cells hold line ends, which would be cut into several rows.
+    one whose quoted cells do not end, so that it cannot be cut into rows.
     """
     # one row per file
     placed = release.shapes.join(map_headers(release.headers, contract), "source_path", "left")
@@ -25,7 +28,7 @@ def structure_report(release: Release, contract: Contract = Contract()) -> DataF
     unreadable = F.array_compact(
         F.array(
             F.when(~has_header, F.format_string("no header row: it is expected in row %d", F.lit(contract.header_row + 1))),
-            F.when(F.col("open_line").isNotNull(), F.format_string("a quoted cell goes on after the end of line %d", F.col("open_line"))),
+            F.col("broken"),
         )
     )
     problems = [
@@ -71,30 +74,31 @@ def row_profile(rows: DataFrame, contract: Contract = Contract()) -> DataFrame:
     cells = rows.select("source_path", "source_row_number", *[strip(F.col(c)).alias(c) for c in names])
     embedded = F.coalesce(F.col("issue_type_raw").isin(contract.issue_headers), F.lit(False))
     empty = F.coalesce(*names).isNull()
-    is_data = ~embedded & ~empty
-    is_b = is_layout_b(F.col(contract.layout_b_column), contract.layout_b_pattern)
-    status, flag = F.col("status_slot_raw"), F.col("repeat_flag_raw")
-    bad_status = is_data & ~is_b & status.isNotNull() & ~status.isin(list(contract.statuses))
-    bad_flag = is_data & ~F.coalesce(flag.isin(list(contract.repeat_flags)), F.lit(False))
-    return (
-        cells.select(
-            "source_path",
-            "source_row_number",
-            embedded.alias("is_embedded"),
-            empty.alias("is_empty"),
-            is_data.alias("is_data"),
-            F.coalesce(is_data & is_b, F.lit(False)).alias("is_b"),
-            F.coalesce(bad_status, F.lit(False)).alias("is_bad_status"),
-            F.when(bad_status, status).alias("bad_status"),
-            bad_flag.alias("is_bad_flag"),
-            F.when(bad_flag, flag).alias("bad_flag"),
-        )
-        .groupBy(
-            "source_path", "is_embedded", "is_empty", "is_data", "is_b",
-            "is_bad_status", "bad_status", "is_bad_flag", "bad_flag",
-        )
-        .agg(F.count(F.lit(1)).alias("n"), F.min("source_row_number").alias("first_row"))
+    layout = layout_of(F.col, contract.layouts)
+    rules = {r.name: r for r in row_rules(contract, F.col, embedded)}
+    # what is dropped is what Silver leaves out: headers however they are spaced
+    as_silver = row_rules(contract, F.col, is_header_text(F.col("issue_type_raw"), contract.issue_headers))
+    drops = [r.broken for r in as_silver if contract.rules.get(r.name) == DROP]
+
+    def offence(rule: str, name: str) -> list[Column]:
+        broken, value = rules[rule].broken, rules[rule].value
+        return [broken.alias(f"is_bad_{name}"), F.when(broken, value).alias(f"bad_{name}")]
+
+    tagged = cells.select(
+        "source_path",
+        "source_row_number",
+        embedded.alias("is_embedded"),
+        empty.alias("is_empty"),
+        (~embedded & ~empty).alias("is_data"),
+        layout.alias("layout"),
+        is_swapped(layout, contract.layouts).alias("is_swapped"),
+        *offence("unknown_status", "status"),
+        *offence("unknown_repeat_flag", "flag"),
+        *offence("unknown_time_band", "band"),
+        reduce(lambda a, b: a | b, drops, F.lit(False)).alias("is_dropped"),
     )
+    kinds = [c for c in tagged.columns if c != "source_row_number"]
+    return tagged.groupBy(*kinds).agg(F.count(F.lit(1)).alias("n"), F.min("source_row_number").alias("first_row"))
 
 
 def _first_seen(profile: DataFrame, hit: str, value: str, out: str) -> DataFrame:
@@ -122,19 +126,23 @@ def row_report(profile: DataFrame) -> DataFrame:
         total("is_embedded").alias("embedded_header_rows"),
         total("is_empty").alias("empty_rows"),
         total("is_data").alias("data_rows"),
-        total("is_data AND NOT is_b").alias("layout_a"),
-        total("is_b").alias("layout_b"),
+        total("is_data AND layout IS NOT NULL AND NOT is_swapped").alias("layout_a"),
+        total("is_data AND is_swapped").alias("layout_b"),
+        total("is_data AND layout IS NULL").alias("unknown_layout_rows"),
         total("is_bad_status").alias("invalid_status_in_layout_a"),
         total("is_bad_flag").alias("invalid_repeat_flag"),
+        total("is_bad_band").alias("invalid_time_band"),
+        total("is_dropped").alias("dropped_rows"),
     )
     statuses = _first_seen(profile, "is_bad_status", "bad_status", "status_examples")
     flags = _first_seen(profile, "is_bad_flag", "bad_flag", "repeat_flag_examples")
-    return counts.join(statuses, "source_path", "left").join(flags, "source_path", "left")
+    bands = _first_seen(profile, "is_bad_band", "bad_band", "time_band_examples")
+    return reduce(lambda found, seen: found.join(seen, "source_path", "left"), [statuses, flags, bands], counts)
 
 
 COUNTS = [
     "rows_in_file", "embedded_header_rows", "empty_rows", "data_rows", "layout_a", "layout_b",
-    "invalid_status_in_layout_a", "invalid_repeat_flag",
+    "unknown_layout_rows", "invalid_status_in_layout_a", "invalid_repeat_flag", "invalid_time_band", "dropped_rows",
 ]
 
 
@@ -149,6 +157,16 @@ def full_report(structure: DataFrame, rows: DataFrame, contract: Contract = Cont
         return F.array_join(F.col(values), ", ", "null")
 
     problems = [
+        (
+            "embedded_header_row",
+            F.col("_embedded_header_rows") > 0,
+            F.format_string("%d rows that repeat the header", F.col("_embedded_header_rows")),
+        ),
+        (
+            "unknown_layout_row",
+            F.col("_unknown_layout_rows") > 0,
+            F.format_string("%d rows that match no layout", F.col("_unknown_layout_rows")),
+        ),
         (
             "unknown_status",
             F.col("_invalid_status_in_layout_a") > 0,
@@ -165,6 +183,13 @@ def full_report(structure: DataFrame, rows: DataFrame, contract: Contract = Cont
                 F.col("_invalid_repeat_flag"), shown("repeat_flag_examples"),
             ),
         ),
+        (
+            "unknown_time_band",
+            F.col("_invalid_time_band") > 0,
+            F.format_string(
+                "%d rows with a time band outside the contract: %s", F.col("_invalid_time_band"), shown("time_band_examples")
+            ),
+        ),
     ]
     judged = joined.select(
         "*",
@@ -183,6 +208,7 @@ def full_report(structure: DataFrame, rows: DataFrame, contract: Contract = Cont
         *[F.col(f"_{c}").alias(c) for c in COUNTS],
         "status_examples",
         "repeat_flag_examples",
+        "time_band_examples",
     )
 
 

@@ -2,7 +2,7 @@
 
 Two formats give the same frame ``(source_path, source_row_number, cells)``: delimited text, which
 Spark splits over many tasks, and workbooks, which are decoded one file per task (the format bounds
-a sheet to about a million rows). Row numbers are 1-based and count every line, blank ones too.
+a sheet to about a million rows). Row numbers are 1-based and count every record, blank ones too.
 """
 
 from __future__ import annotations
@@ -11,12 +11,13 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from reqlytics.contract import Contract
 from reqlytics.functions.text import strip
 from reqlytics.operators.joins import lookup_join
 from reqlytics.sources import workbook
+from reqlytics.sources.records import plain_numbers, read_records, split_summary, tagged_lines
 from reqlytics.sources.warehouse import materialise
 
 COMMA_OUTSIDE_QUOTES = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
@@ -27,8 +28,8 @@ MAX_HASHED_BYTES = 256 << 20
 class Release:
     """Rows after the header row, and a header record of each file that has one.
 
-    ``shapes`` has a row for every input file, read or not: cells of its widest row, and the first line on
-    which a quoted cell is left open (null: none).
+    ``shapes`` has a row for every input file, read or not: cells of its widest row, and why it cannot be cut into
+    rows (``broken``; null: it can).
     """
 
     rows: DataFrame
@@ -55,47 +56,10 @@ def listed_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def numbered_lines(
     spark: SparkSession, path: str | list[str], larger_than: int = -1, line_end: str | None = None
 ) -> DataFrame:
-    """``(source_path, source_row_number, value)`` of text files, whatever the splits.
-
-    A file's splits are read by different tasks. Inside a split lines keep their order, so a line's
-    number is its position in its split plus the lines of the splits before it. Only one record per
-    split is grouped and summed; no file is sorted or sent to one task.
-
-    How Spark cuts files depends on the cores at hand, which change when executors come and go. The
-    tagged lines are therefore written once: every later step sees the same splits.
-    """
-    reader = spark.read if line_end is None else spark.read.option("lineSep", line_end)
-    lines = materialise(
-        reader.text(path)
-        .where(~is_workbook(F.col("_metadata.file_name")) & (F.col("_metadata.file_size") > larger_than))
-        .select(
-            F.col("_metadata.file_path").alias("source_path"),
-            F.col("_metadata.file_block_start").alias("_block"),
-            F.monotonically_increasing_id().alias("_id"),
-            "value",
-        ),
-        "lines",
-    )
-    splits = lines.groupBy("source_path", "_block").agg(
-        F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_lines")
-    )
-    earlier = (
-        Window.partitionBy("source_path")
-        .orderBy("_block")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = materialise(
-        splits.select(
-            "source_path", "_block", "_first", F.coalesce(F.sum("_lines").over(earlier), F.lit(0)).alias("_base")
-        ),
-        "split_offsets",
-    )
-    placed = lookup_join(lines, offsets, ["source_path", "_block"], "inner", F.col("_id"))
-    return placed.select(
-        "source_path",
-        (F.col("_id") - F.col("_first") + F.col("_base") + 1).alias("source_row_number"),
-        "value",
-    )
+    """``(source_path, source_row_number, value)`` of text files line by line, whatever the splits."""
+    size = F.col("_metadata.file_size")
+    lines = tagged_lines(spark, path, ~is_workbook(F.col("_metadata.file_name")) & (size > larger_than), line_end)
+    return plain_numbers(lines, materialise(split_summary(lines), "splits"))
 
 
 def _header_cells(line: Column) -> Column:
@@ -113,7 +77,9 @@ def _cells(value: Column, width: int) -> Column:
 
 
 def read_text_release(spark: SparkSession, path: str, contract: Contract = Contract()) -> Release:
-    lines = numbered_lines(spark, path)
+    """Records of all text files; a row number counts records, so a cell with line ends takes one, as in a sheet."""
+    records = read_records(spark, path, ~is_workbook(F.col("_metadata.file_name")))
+    lines = records.rows
     header_number = contract.header_row + 1
     headers = materialise(
         lines.where(F.col("source_row_number") == header_number).select(
@@ -125,14 +91,13 @@ def read_text_release(spark: SparkSession, path: str, contract: Contract = Contr
     body = lines.where(F.col("source_row_number") > header_number).select(
         "source_path", "source_row_number", _cells(F.col("value"), width).alias("cells")
     )
-    # a line with an odd number of quotes leaves a cell open that goes on in the next line
     unquoted = F.regexp_replace("value", '"[^"]*"', "q")
     filled = F.regexp_replace(unquoted, r"[,\s]+$", "")
-    is_open = F.contains(unquoted, F.lit('"'))
-    shapes = lines.groupBy("source_path").agg(
-        F.max(F.when(F.col("source_row_number") >= header_number, F.length(filled) - F.length(F.replace(filled, F.lit(","))) + 1)).alias("widest"),
-        F.min(F.when(is_open, F.col("source_row_number"))).alias("open_line"),
+    commas = F.length(filled) - F.length(F.replace(filled, F.lit(",")))
+    widest = lines.groupBy("source_path").agg(
+        F.max(F.when(F.col("source_row_number") >= header_number, commas + 1)).alias("widest")
     )
+    shapes = widest.join(records.broken.select("source_path", F.col("why").alias("broken")), "source_path", "full")
     return Release(body, headers, shapes)
 
 
@@ -155,7 +120,7 @@ def read_workbook_release(spark: SparkSession, path: str, contract: Contract = C
     )
     filled = F.transform("cells", lambda c, i: F.when(F.length(strip(c)) > 0, i + 1))
     shapes = rows.where(F.col("source_row_number") >= header_number).groupBy("source_path").agg(
-        F.max(F.array_max(filled)).alias("widest"), F.lit(None).cast("long").alias("open_line")
+        F.max(F.array_max(filled)).alias("widest"), F.lit(None).cast("string").alias("broken")
     )
     return Release(rows.where(F.col("source_row_number") > header_number), headers, shapes)
 

@@ -57,6 +57,37 @@ def materialise_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     return spark.read.schema(df.schema).parquet(path), seen.get["n"]
 
 
+class RowCounts:
+    """Rows per key, counted by the tasks that write them; nothing is read back.
+
+    Keys are whole numbers below ``n``. A histogram with room for every key is kept by each task and merged when the task has
+    succeeded, so a task that is tried again counts once. Bins of one key lie closer than any two keys, so only they are
+    merged; their places are averages and off by rounding alone. One holds ``KEYS`` keys, more keys take more.
+    """
+
+    KEYS = 1024
+
+    def __init__(self, n: int) -> None:
+        self.parts = -(-n // self.KEYS)
+        self.seen = Observation()
+
+    def watch(self, df: DataFrame, key: str) -> DataFrame:
+        parts = [
+            F.histogram_numeric(F.when(F.floor(F.col(key) / self.KEYS) == k, F.col(key).cast("double")), F.lit(self.KEYS)).alias(f"part{k}")
+            for k in range(self.parts)
+        ]
+        return df.observe(self.seen, F.count(F.lit(1)).alias("all"), *parts)
+
+    def get(self) -> tuple[int, dict[int, int]]:
+        """All rows, and those of each key that has any; only after the write."""
+        found: dict[int, int] = {}
+        told = self.seen.get
+        for k in range(self.parts):
+            for key, n in told[f"part{k}"] or []:
+                found[round(key)] = found.get(round(key), 0) + round(n)
+        return told["all"], found
+
+
 @dataclass
 class Warehouse:
     """Parquet tables below one root. Writing a table replaces it (full rebuild)."""
@@ -80,18 +111,21 @@ class Warehouse:
         fields += [df.schema[name] for name in partition_by]
         return self.read(layer, table, type(df.schema)(fields)).select(*df.columns)
 
-    def write_partitions(self, df: DataFrame, layer: str, table: str, partition: str) -> None:
-        """Replace only the partitions that ``df`` contains: loading a quarter again is idempotent."""
-        (
-            df.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(partition)
-            .parquet(self.path(layer, table))
-        )
-
-    def drop_partition(self, layer: str, table: str, partition: str, value: str) -> None:
-        """Remove one partition of a table that is there."""
-        remove(self.spark, f"{self.path(layer, table)}/{partition}={value}")
+    def replace_partitions(
+        self, df: DataFrame, layer: str, table: str, partition: str, values: Sequence[str]
+    ) -> DataFrame:
+        """Replace the partitions ``values`` by ``df``, which holds no others; returns those partitions.
+
+        A partition without rows from now on is deleted; all others are not touched.
+        """
+        path, seen = self.path(layer, table), Observation()
+        watched = df.observe(seen, F.collect_set(F.col(partition).cast("string")).alias("present"))
+        watched.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+        for value in sorted(set(values) - set(seen.get["present"])):
+            remove(self.spark, f"{path}/{partition}={value}")
+        fields = [f for f in df.schema if f.name != partition] + [df.schema[partition]]
+        stored = self.read(layer, table, type(df.schema)(fields)).select(*df.columns)
+        return stored.where(F.col(partition).isin(list(values)))
 
     def read(self, layer: str, table: str, schema=None) -> DataFrame:
         reader = self.spark.read

@@ -6,7 +6,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from reqlytics.contract import LOCATION_MISSING_LABEL, TIME_BAND_PATTERN
+from reqlytics.contract import LOCATION_MISSING_LABEL, Contract
 from reqlytics.functions import casts, keys, labels, text
 
 
@@ -40,7 +40,7 @@ def test_header_text_is_null_safe(apply):
 
 def test_layout_needs_ascii_digits(apply):
     given = ["06:00 12:00", "06:00  12:00", "٠٦:٠٠ ١٢:٠٠", "5", None]
-    assert apply(lambda c: text.is_layout_b(c, TIME_BAND_PATTERN), given) == [True, False, False, False, False]
+    assert apply(lambda c: text.is_swapped(text.layout_of(lambda _: c, Contract().layouts), Contract().layouts), given) == [True, False, False, False, False]
 
 
 def test_safe_double(apply):

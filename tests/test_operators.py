@@ -46,6 +46,38 @@ def test_global_median(spark, max_values):
     assert median.exact_median(frame.limit(0), [], "v", max_values=max_values).count() == 0
 
 
+@pytest.mark.parametrize("max_values", [0, 3, 60, median.MAX_VALUES])
+def test_median_of_rows_with_sums_and_null_keys(spark, max_values):
+    """Few and many rows, values that repeat and that do not, a null key, a group without values."""
+    rows = sample(5, 1200) + [(None, float(i % 7)) for i in range(400)] + [("same", 4.25)] * 300 + [("two", float(i % 2)) for i in range(99)]
+    frame = spark.createDataFrame(rows, "k string, v double")
+    got = median.aggregate_rows_with_median(
+        frame, ["k"], "v", [F.count(F.lit(1)).alias("n")], [F.sum("n").alias("rows")], "m", max_values
+    ).collect()
+    groups = {}
+    for k, v in rows:
+        groups.setdefault(k, []).append(v)
+    assert {r["k"]: r["rows"] for r in got} == {k: len(v) for k, v in groups.items()}
+    usable = {k: [x for x in v if x is not None and x == x] for k, v in groups.items()}
+    want = {k: statistics.median(v) if v else None for k, v in usable.items()}
+    assert {r["k"]: r["m"] for r in got} == {k: v if v is None else pytest.approx(v, rel=1e-12, abs=1e-15) for k, v in want.items()}
+
+
+def test_median_of_rows_writes_few_values(spark, monkeypatch):
+    """Continuous values: what is written is a small part of the rows."""
+    written = []
+    for name in ("materialise", "materialise_counted"):
+        def watch(df, label, real=getattr(median, name), pair=name.endswith("counted")):
+            made = real(df, label)
+            written.append((made[0] if pair else made).count())
+            return made
+        monkeypatch.setattr(median, name, watch)
+    rows = spark.range(30_000).selectExpr("id % 3 AS k", "rand(7) * 1e6 + id / 1e9 AS v")
+    got = {r.k: r.median for r in median.exact_median(rows, ["k"], "v", max_values=500).collect()}
+    assert got == {r.k: r.m for r in rows.groupBy("k").agg(F.percentile("v", 0.5).alias("m")).collect()}
+    assert sum(written) < 300
+
+
 def test_coarse_buckets_do_not_change_the_result(spark):
     rows = sample(11, 1500)
     frame = spark.createDataFrame(rows, "k string, v double").groupBy("k", "v").agg(F.count("*").alias("n"))

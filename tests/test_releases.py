@@ -1,19 +1,29 @@
 """Release files: validation, row numbers, load, manifest. Text files and workbooks alike."""
 
+import collections
 import csv
 import hashlib
 import io
+import random
+import subprocess
+import sys
 import zipfile
+from dataclasses import replace
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 from xml.sax.saxutils import escape
 
-from reqlytics.contract import Contract, load_contract
-from reqlytics.plans.load import ReleaseRejected, load_release, read_bronze
+from reqlytics.contract import TIME_BAND_PATTERN, Contract, Layout, load_contract
+from reqlytics.plans import load as loading
+from reqlytics.plans.load import (
+    ReleaseRejected, bronze_table, load_release, read_bronze, read_dropped, read_manifest,
+)
+from reqlytics.plans.silver import build_silver
 from reqlytics.plans.validation import failing_files, validate_files
-from reqlytics.sources import releases
-from reqlytics.sources.warehouse import Warehouse
+from reqlytics.sources import records, releases
+from reqlytics.sources.warehouse import RowCounts, Warehouse
 from reqlytics.sources.workbook import sheet_rows
 
 HEADERS = ["نوع البلاغ", "الموقع", "حالة البلاغ", "زمن الإغلاق بالساعات", "تاريخ الاستلام", "تكرار البلاغ"]
@@ -220,7 +230,7 @@ def test_load_is_idempotent_per_quarter(spark, make_file, tmp_path):
     with open(first, "rb") as handle:
         assert rows[0]["file_sha256"] == hashlib.sha256(handle.read()).hexdigest()
     assert dict(bronze.dtypes)["source_row_number"] == "bigint" and dict(bronze.dtypes)["ingested_at"] == "timestamp"
-    stored = spark.read.json(warehouse.path("manifests", "loads"))
+    stored = read_manifest(warehouse)
     assert stored.count() == 3 and stored.select(F.count_distinct("batch_id")).first()[0] == 3
 
 
@@ -241,6 +251,13 @@ def test_contract_document(tmp_path):
     assert (contract.header_row, contract.expected_columns, contract.column_names) == (2, 1, ["issue_type_raw"])
     assert contract.labels.completed == "d" and contract.rules["unknown_status"] == "fail"
     assert contract.rules["column_count_mismatch"] == "fail"
+    path.write_text('{"layouts": {"A": {"default": true}, "B": {"detect_column": "c", "detect_pattern": "x"}}}')
+    assert [(x.name, x.pattern, x.swapped) for x in load_contract(str(path)).layouts] == [("B", "x", True), ("A", "", False)]
+    for wrong in ('{"rules": {"unknown_statuses": "fail"}}', '{"rules": {"unknown_status": "ignore"}}',
+                  '{"rules": {"column_count_mismatch": "drop_and_log"}}', '{"layouts": {"A": {}}}'):
+        path.write_text(wrong)
+        with pytest.raises(ValueError):
+            load_contract(str(path))
 
 
 # ---------------------------------------------------------------- files that cannot be read in full
@@ -253,7 +270,9 @@ def test_files_that_cannot_be_read_in_full_fail(spark, tmp_path):
         "title.csv": as_text([["t"]]),
         "empty.csv": b"",
         "wide.csv": as_text([["t"], HEADERS, [*ROW_A, "more"]]),
-        "broken.csv": as_text([["t"], HEADERS, [ROW_A[0], "one\ntwo", *ROW_A[2:]]]),
+        "lines.csv": as_text([["t"], HEADERS, [ROW_A[0], "one\ntwo", *ROW_A[2:]]]),
+        "broken.csv": as_text([["t"], HEADERS]) + f'{ROW_A[0]},"one\ntwo,{",".join(ROW_A[2:])}\n'.encode(),
+        "partly.csv": as_text([["t"], HEADERS]) + f'{ROW_A[0]},5" one\ntwo 6",{",".join(ROW_A[2:])}\n'.encode(),
         "good.csv": as_text([["t"], HEADERS, ROW_A]),
         "quotes.csv": as_text([["t"], HEADERS, [ROW_A[0], 'say "hi", you', *ROW_A[2:]]]),
         "commas.csv": as_text([["t"], HEADERS]) + ",".join(ROW_A).encode() + b",,,\n",
@@ -266,10 +285,11 @@ def test_files_that_cannot_be_read_in_full_fail(spark, tmp_path):
         (tmp_path / name).write_bytes(content)
     got = report_by_name(spark, str(tmp_path))
     assert set(got) == set(files)
-    bad = {"title.csv", "empty.csv", "wide.csv", "broken.csv", "widebook.xlsx", "titlebook.xlsx"}
+    bad = {"title.csv", "empty.csv", "wide.csv", "broken.csv", "partly.csv", "widebook.xlsx", "titlebook.xlsx"}
     assert {n for n, r in got.items() if r["status"] == "fail"} == bad
     assert "header" in got["title.csv"]["errors"][0] and "7 columns" in got["wide.csv"]["errors"][0]
-    assert "line 3" in got["broken.csv"]["errors"][0]
+    assert "row 3 has no end" in got["broken.csv"]["errors"][0] and "part of its cell: row 3" in got["partly.csv"]["errors"][0]
+    assert got["lines.csv"]["data_rows"] == 1
     assert got["BOOK.XLSX"]["data_rows"] == got["good.csv"]["data_rows"] == 1
     both = validate_files(spark, [str(tmp_path / "good.csv"), str(tmp_path / "BOOK.XLSX")])
     assert both.count() == 2
@@ -293,3 +313,169 @@ def test_files_of_one_name_and_empty_releases(spark, tmp_path):
     load_release(warehouse, str(tmp_path / "x"), "2026Q2")
     load_release(warehouse, str(tmp_path / "z.csv"), "2026Q1")
     assert {r[0] for r in read_bronze(warehouse).select("source_quarter").distinct().collect()} == {"2026Q2"}
+
+
+# ---------------------------------------------------------------- records over several lines
+def random_release(seed, rows):
+    rng = random.Random(seed)
+    cells = ["a", "", "b\nc", 'say "hi"', '"\n"', "\n", "x,\ny", "\n\n\nz", "long " * 30]
+    return [["t"], HEADERS, *[[rng.choice(cells) for _ in HEADERS] for _ in range(rows)]]
+
+
+@pytest.mark.parametrize("split", [64, 300, 1 << 20])
+def test_records_over_lines_and_splits(spark, tmp_path, split):
+    files = {f"r{seed}.csv": random_release(seed, 60 + 40 * seed) for seed in range(4)}
+    files["plain.csv"] = [["t"], HEADERS, *[ROW_A] * 50]
+    for name, rows in files.items():
+        (tmp_path / name).write_bytes(as_text(rows))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        release = releases.read_release(spark, str(tmp_path))
+        got = collections.defaultdict(dict)
+        for r in release.rows.collect():
+            got[r.source_path.rsplit("/", 1)[1]][r.source_row_number] = [c or "" for c in r.cells]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    for name, rows in files.items():
+        assert got[name] == {i: r for i, r in enumerate(rows, 1) if i > 2}
+    assert all(r.broken is None for r in release.shapes.collect())
+
+
+def test_line_ends_of_windows_and_long_records(spark, tmp_path):
+    text = as_text([["t"], HEADERS, [ROW_A[0], "one\ntwo", *ROW_A[2:]], ROW_A]).replace(b"\n", b"\r\n")
+    (tmp_path / "w.csv").write_bytes(text)
+    rows = releases.read_release(spark, str(tmp_path)).rows.collect()
+    assert [(r.source_row_number, r.cells[1]) for r in sorted(rows, key=lambda r: r[1])] == [(3, "one\ntwo"), (4, ROW_A[1])]
+    bounded = records.read_records(spark, str(tmp_path), F.lit(True), longest=20)
+    assert "longer than 20" in bounded.broken.first().why
+
+
+def test_plain_files_are_not_shuffled(spark, tmp_path):
+    (tmp_path / "p.csv").write_bytes(as_text([["t"], HEADERS, *[ROW_A] * 5]))
+    plan = releases.read_release(spark, str(tmp_path)).rows._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "Window" not in plan
+
+
+# ---------------------------------------------------------------- staged loads
+def stored_rows(warehouse):
+    return sorted((r.source_quarter, r.batch_id, r.source_row_number) for r in read_bronze(warehouse).collect())
+
+
+@pytest.fixture
+def loaded(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(as_text([["t"], HEADERS, ROW_A, ROW_B]))
+    (tmp_path / "b.csv").write_bytes(as_text([["t"], HEADERS, ROW_A, ROW_A, ROW_A]))
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    load_release(warehouse, str(tmp_path / "a.csv"), "2026Q1", batch_id="one")
+    return warehouse
+
+
+def test_load_that_fails_leaves_the_quarter(loaded, tmp_path, monkeypatch):
+    before = stored_rows(loaded)
+    with pytest.raises(ZeroDivisionError):
+        load_release(loaded, str(tmp_path / "b.csv"), "2026Q1", gate=lambda batch: 1 // 0, batch_id="two")
+    lost = RowCounts.get
+    monkeypatch.setattr(RowCounts, "get", lambda self: (lambda n, d: (n, {k: v - 1 for k, v in d.items()}))(*lost(self)))
+    with pytest.raises(ReleaseRejected, match="did not arrive"):
+        load_release(loaded, str(tmp_path / "b.csv"), "2026Q1", batch_id="three")
+    monkeypatch.undo()
+    with pytest.raises(ReleaseRejected, match="no quarter"):
+        load_release(loaded, str(tmp_path / "b.csv"), F.lit(None).cast("string"))
+    assert stored_rows(loaded) == before and read_manifest(loaded).count() == 1
+    assert not [p.name for p in (tmp_path / "wh" / "bronze" / "requests").iterdir() if "two" in p.name or "three" in p.name]
+
+
+def test_repeated_commit_is_one_entry(loaded, tmp_path):
+    for _ in range(2):
+        load_release(loaded, str(tmp_path / "b.csv"), "2026Q1", batch_id="two")
+    table = bronze_table(loaded)
+    assert [(e["number"], e["batch_id"], e["partitions"]) for e in table.entries()] == [(1, "one", {"2026Q1": 2}), (2, "two", {"2026Q1": 3})]
+    assert stored_rows(loaded) == [("2026Q1", "two", n) for n in (3, 4, 5)]
+    assert read_manifest(loaded).count() == 2
+    assert table.commit("one", {"2026Q1": 99}, "later")["partitions"] == {"2026Q1": 2} and len(table.entries()) == 2
+    assert table.discard_replaced("batch", loading.DROPPED) == ["one"] and len(stored_rows(loaded)) == 3
+
+
+def test_load_reads_no_bronze_and_filters_prune_it(loaded, tmp_path, monkeypatch):
+    monkeypatch.setattr(loading.CommittedTable, "read", lambda *a: pytest.fail("a load read the table"))
+    load_release(loaded, str(tmp_path / "b.csv"), "2026Q2", batch_id="two")
+    monkeypatch.undo()
+    plan = read_bronze(loaded).where("source_quarter = '2026Q2'")
+    assert plan.count() == 3
+    filters = plan._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert "batch#" in filters and "source_quarter#" in filters
+
+
+def test_row_counts_are_exact_over_many_keys(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(RowCounts, "KEYS", 16)
+    rows = spark.range(0, 50_000, 1, 13).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id % 41 END AS key", "id")
+    counts = RowCounts(41)
+    counts.watch(rows, "key").write.parquet(str(tmp_path / "t"))
+    total, per_key = counts.get()
+    assert total == 50_000 and per_key == {r.key: r.n for r in rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+RETRIED = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from pyspark import TaskContext
+from pyspark.sql import SparkSession
+from reqlytics.sources.warehouse import RowCounts
+spark = SparkSession.builder.master("local[2,3]").config("spark.ui.enabled", "false").getOrCreate()
+def flaky(batches):
+    for i, batch in enumerate(batches):
+        yield batch
+    if TaskContext.get().attemptNumber() == 0:
+        raise OSError("lost")
+rows = spark.range(0, 5000, 1, 4).selectExpr("id % 5 AS key").mapInArrow(flaky, "key long")
+counts = RowCounts(5)
+counts.watch(rows, "key").write.parquet(sys.argv[2])
+print("counted", counts.get())
+"""
+
+
+def test_retried_tasks_count_once(tmp_path):
+    root = str(Path(__file__).resolve().parents[1])
+    done = subprocess.run([sys.executable, "-c", RETRIED, root, str(tmp_path / "out")], capture_output=True, text=True, timeout=180)
+    assert f"counted {(5000, {k: 1000 for k in range(5)})}" in done.stdout, done.stderr[-2000:]
+
+
+# ---------------------------------------------------------------- reactions
+def reacting(reaction, **more):
+    rules = {r: reaction for r in ("embedded_header_row", "unknown_layout_row", "unknown_status", "unknown_repeat_flag", "unknown_time_band")}
+    layouts = (Layout("B", "closure_slot_raw", TIME_BAND_PATTERN, swapped=True), Layout("A", "closure_slot_raw", r"^\d+$"))
+    return replace(Contract(), layouts=layouts, rules={**Contract().rules, **rules}, **more)
+
+
+ODD = [ROW_A, HEADERS, [None] * 6, [*ROW_A[:3], "soon", *ROW_A[4:]], [*ROW_A[:2], "lost", *ROW_A[3:]], [*ROW_B[:3], "07:00 08:00", *ROW_B[4:]],
+       [*ROW_A[:5], None], [f"  {HEADERS[0]} ", *ROW_A[1:]]]
+
+
+def test_reactions(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(as_text([["t"], HEADERS, *ODD]))
+    got = {r: validate_files(spark, str(tmp_path / "a.csv"), reacting(r)).first() for r in ("warn", "fail", "drop_and_log")}
+    assert [got[r]["status"] for r in got] == ["pass_with_warnings", "fail", "pass"]
+    assert (len(got["warn"]["warnings"]), len(got["fail"]["errors"]), got["drop_and_log"]["warnings"]) == (5, 5, [])
+    assert {(r["unknown_layout_rows"], r["embedded_header_rows"], r["invalid_time_band"]) for r in got.values()} == {(1, 2, 1)}
+    assert (got["warn"]["dropped_rows"], got["drop_and_log"]["dropped_rows"]) == (0, 6)
+    assert got["warn"]["time_band_examples"] == ["07:00 08:00"]
+
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    load_release(warehouse, str(tmp_path / "a.csv"), "2026Q1", reacting("drop_and_log"))
+    dropped = sorted((r.source_row_number, r.rule, r.value) for r in read_dropped(warehouse).collect())
+    assert [d[:2] for d in dropped] == [
+        (4, "embedded_header_row"), (6, "unknown_layout_row"), (7, "unknown_status"), (8, "unknown_time_band"),
+        (9, "unknown_repeat_flag"), (10, "embedded_header_row"),
+    ]
+    assert [d[2] for d in dropped[1:4]] == ["soon", "lost", "07:00 08:00"] and dropped[4][2] is None
+    bronze = read_bronze(warehouse)
+    assert bronze.count() == 8 and [r[0] for r in build_silver(bronze, reacting("drop_and_log")).select("source_row_number").collect()] == [3, 5]
+    assert build_silver(bronze, reacting("warn")).count() == 8
+    kept = {r.source_row_number: r.source_layout for r in build_silver(bronze, reacting("warn")).collect()}
+    assert kept[3] == "A" and kept[6] is None and kept[8] == "B"
+    with pytest.raises(ReleaseRejected):
+        load_release(warehouse, str(tmp_path / "a.csv"), "2026Q1", reacting("fail"))
+    load_release(warehouse, str(tmp_path / "a.csv"), "2026Q1", reacting("warn"))
+    assert read_dropped(warehouse).count() == 0
