@@ -43,7 +43,7 @@ OTHER_WORDS = {"commit", "sha", "sha1", "sha256", "md5", "checksum", "digest", "
 #: What stands before the value in a run, and the words of a path before and after it.
 NAME = re.compile(r".*=(?=[^=])")
 PATH = re.compile(r"/*(?:[A-Za-z]?[a-z_\-]{2,}/+)+")
-PATH_END = re.compile(r"(?:/+[A-Za-z]?[a-z_\-]{2,})+/*$")
+SEGMENT = re.compile(r"[A-Za-z]?[a-z_\-]{2,}")
 #: A shorter value, by what assigns it.
 SHORT = re.compile(
     r"(?i)(?:%s)[\"']?\s*[=:]\s*[\"']?(?P<said>[A-Za-z0-9+/_\-]{8,15}(?![A-Za-z0-9+/_\-]))"
@@ -55,8 +55,21 @@ FEATURES = ["length", "changes", "digits", "capitals", "marks", "entropy", "pair
 AROUND = 48
 
 
+def without_path_end(said: str) -> int:
+    """Where the words of a path begin that a run ends with; each segment is looked at once, from the right."""
+    end = len(said)
+    while True:
+        last = len(said[:end].rstrip("/")) if end == len(said) else end
+        slash = said.rfind("/", 0, last)
+        if slash < 0 or not SEGMENT.fullmatch(said, slash + 1, last):
+            return end
+        while slash and said[slash - 1] == "/":
+            slash -= 1
+        end = slash
+
+
 def candidates(text: str) -> list[tuple[int, int]]:
-    """Places of candidates, in code points."""
+    """Places of candidates, in code points; the time is that of the text's length, whatever it holds."""
     out = []
     for m in CANDIDATE.finditer(text):
         start, end = m.span()
@@ -69,17 +82,18 @@ def candidates(text: str) -> list[tuple[int, int]]:
             a, b = start, end
             if path := PATH.match(text, a, b):
                 a = path.end()
-            if path := PATH_END.search(text[a:b]):
-                b = a + path.start()
+            b = a + without_path_end(text[a:b])
             # a run that is nothing but a path is judged as it stands
             out.append((a, b) if b - a >= LEAST_RUN else (start, end))
     if "=" in text or ":" in text:
-        taken = set(out)
-        for m in SHORT.finditer(text):
+        more, at = [], 0
+        for m in SHORT.finditer(text):  # both in order: one look at each
             span = m.span("said")
-            if not any(a < span[1] and span[0] < b for a, b in taken):
-                out.append(span)
-        out.sort()
+            while at < len(out) and out[at][1] <= span[0]:
+                at += 1
+            if at == len(out) or out[at][0] >= span[1]:
+                more.append(span)
+        out = sorted(out + more)
     return out
 
 
