@@ -21,6 +21,7 @@ import itertools
 import json
 import unicodedata
 from dataclasses import dataclass
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,9 @@ from reqlytics.llm.common import free_name, with_columns
 
 #: Words laid out in one index at most, in bytes; more are done in further blocks.
 BLOCK_SYMBOLS = 1 << 20
-#: Entries of the memo of encoded pieces; it is emptied beyond that, which costs time only.
-MEMO_PIECES = 1 << 17
+#: Bytes of the memo of encoded pieces, and letters of the longest that is kept. It is emptied beyond that, and longer
+#: pieces are forgotten at once, which costs time only.
+MEMO_BYTES, MEMO_LETTERS = 48 << 20, 64
 #: Characters of the white space at which texts may be cut before anything else; all is done alike between.
 CONTROL = regex.compile(r"[\x1c-\x1f]")
 SPACE = regex.compile(r"\s+")
@@ -275,6 +277,7 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.memo: dict[str, bytes] = {}
+        self.held = 0
 
     def _learn(self, pieces: list[str]) -> None:
         """Encode pieces that the memo lacks, all their distinct words in one index."""
@@ -287,17 +290,24 @@ class Encoder:
         known: dict[str | int, bytes] = dict(zip(texts, self.vocabulary.encode_words([w.encode() for w in texts])))
         known |= {i: np.array([i], "<u4").tobytes() for i in self.vocabulary.special.values()}
         for piece, ws in zip(pieces, cut):
-            self.memo[piece] = known[ws[0]] if len(ws) == 1 else b"".join([known[w] for w in ws])
+            self.memo[piece] = ids = known[ws[0]] if len(ws) == 1 else b"".join([known[w] for w in ws])
+            self.held += getsizeof(piece) + getsizeof(ids) + 100  # and its place in the memo
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        if len(self.memo) > MEMO_PIECES:
+        if self.held > MEMO_BYTES:
             self.memo.clear()
+            self.held = 0
         cut = [SPACE.split(t) if CONTROL.search(t) else t.split() for t in (t or "" for t in texts)]
         missing = set().union(*cut) - self.memo.keys()
         if missing:
             self._learn(list(missing))
-        return [b"".join(map(self.memo.__getitem__, ps)) for ps in cut]
+        out = [b"".join(map(self.memo.__getitem__, ps)) for ps in cut]
+        for piece in missing:
+            if len(piece) > MEMO_LETTERS:
+                ids = self.memo.pop(piece)
+                self.held -= getsizeof(piece) + getsizeof(ids) + 100
+        return out
 
 
 def decode(vocabulary: Vocabulary, ids: bytes) -> str:
