@@ -114,6 +114,50 @@ def test_forest_on_kept_out_findings():
     assert ((forest.scores(x[2000:]) >= 0.5) == y[2000:]).mean() > 0.95
 
 
+def old_places(text):
+    """Brute force: path ends by a search from every place, short values against all places."""
+    import re
+
+    path_end = re.compile(r"(?:/+[A-Za-z]?[a-z_\-]{2,})+/*$")
+    out = []
+    for m in secrets.CANDIDATE.finditer(text):
+        start, end = m.span()
+        if not any(c.isalnum() for c in m.group()):
+            continue
+        if name := secrets.NAME.match(m.group()):
+            start += name.end()
+        if end - start >= secrets.LEAST_RUN:
+            a, b = start, end
+            if path := secrets.PATH.match(text, a, b):
+                a = path.end()
+            if path := path_end.search(text[a:b]):
+                b = a + path.start()
+            out.append((a, b) if b - a >= secrets.LEAST_RUN else (start, end))
+    taken = list(out)
+    for m in secrets.SHORT.finditer(text):
+        span = m.span("said")
+        if not any(a < span[1] and span[0] < b for a, b in taken):
+            out.append(span)
+    return sorted(out)
+
+
+def test_candidates_equal_brute_force():
+    rng = random.Random(4)
+    parts = ["/", "//", "ab", "usr", "Lib", "A1", "x9f", "=", "token=", "key: ", " ", "\n", "0123456789abcdef", "e", "_", "-", "Zq7"]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(1, 30)))
+        assert secrets.candidates(text) == old_places(text), text
+
+
+def test_candidates_take_linear_time():
+    import time
+
+    for text in ("A1" + "/ab" * 1_600_000 + "/A1", "token=abcdefgh1 0123456789abcdef0123456789abcdef " * 100_000):
+        started = time.process_time()
+        secrets.candidates(text)
+        assert time.process_time() - started < 10
+
+
 # ------------------------------------------------------------------------------------------------ 4
 @pytest.fixture(scope="module")
 def library():
@@ -151,6 +195,17 @@ def test_encode_and_decode_frames(library, clashing, empty):
     assert tokens.digests(empty, VOCABULARY).count() == 0
 
 
+def test_memo_is_bounded_in_bytes(monkeypatch):
+    monkeypatch.setattr(tokens, "MEMO_BYTES", 1 << 20)
+    library, coder = Tokenizer.from_file(VOCABULARY), tokens.Encoder(tokens.Vocabulary.load(VOCABULARY))
+    rng = random.Random(3)
+    texts = ["".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(400)) + f" word{i} and {i}" for i in range(300)]
+    for text in texts + [f"piece{i} " * 2 for i in range(9000)]:
+        assert coder.encode([text])[0] == np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert coder.held < (1 << 20) + 4096 and max(map(len, coder.memo), default=0) <= tokens.MEMO_LETTERS
+    assert len(coder.memo) > 10
+
+
 # ------------------------------------------------------------------------------------------------ 5
 ITEMS = [(1, "One two three four five six seven eight nine TEN eleven"), (2, "four, five"), (None, "six seven"), (3, None), (4, "..."), (2, "four five")]
 
@@ -293,18 +348,108 @@ def test_classes_odd_rows(spark, odd, clashing, empty):
     assert jaccard.classes(empty).count() == 0 and jaccard.one_of_each(empty).count() == 0
 
 
-def test_forest_depth():
-    assert jaccard.expected_recall(20, jaccard.prefix_length(20, 10, 0.8, 0.995), 0.8) >= 0.995
-    assert jaccard.prefix_length(20, 10, 0.8, 0.0) == 10
-
-
-def test_just_similar_pairs_share_a_key():
-    """10,000 pairs of similarity 0.8: 8 shingles of 10 in common."""
-    grams = np.random.default_rng(11).integers(0, 1 << 63, (10_000, 10)).astype(np.uint64)
-    texts = np.stack([grams[:, :9], np.concatenate([grams[:, :8], grams[:, 9:]], 1)], 1).ravel()
-    length = jaccard.prefix_length(jaccard.TREES, jaccard.LONGEST, jaccard.SIMILARITY, jaccard.TARGET)
-    keys = jaccard.tree_keys(texts, np.arange(20_001) * 9, jaccard.TREES, length)
-    assert (keys[::2] == keys[1::2]).any(1).all()
+def signed(texts):
+    """Nodes' rows of texts given as sets of shingles, per tree: rid, values, sketch."""
+    places = np.cumsum([0, *map(len, texts)])
+    _, values = jaccard.tree_values(np.concatenate(texts), places, jaccard.TREES, jaccard.LONGEST)
+    flat = values.reshape(len(texts), -1)
+    sketches = np.packbits((flat >> np.uint32(7)).astype(np.uint8) & 1, axis=1)
+    return values, sketches
+
+
+def just_similar(n, seed=11):
+    """Pairs of similarity 0.8: 8 shingles of 10 in common."""
+    grams = np.random.default_rng(seed).integers(0, 1 << 63, (n, 10)).astype(np.uint64)
+    return [t for g in grams for t in (g[:9], np.append(g[:8], g[9]))]
+
+
+def test_just_similar_pairs_are_candidates():
+    """Of 10,000 pairs hardly one shares no node at the floor, and no sketch turns one away."""
+    texts = just_similar(10_000)
+    floor = jaccard.floor_length(jaccard.TREES, jaccard.LONGEST, jaccard.SIMILARITY, jaccard.TARGET)
+    assert jaccard.expected_recall(jaccard.TREES, floor, 0.8) >= jaccard.TARGET > jaccard.expected_recall(jaccard.TREES, floor + 1, 0.8)
+    values, sketches = signed(texts)
+    keys = jaccard.node_keys(values[:, :, :floor])
+    assert (keys[::2] == keys[1::2]).any(1).sum() >= 9_997
+    apart = np.bitwise_count(sketches[::2] ^ sketches[1::2]).sum(axis=1)
+    assert (1 - 2 * apart / (jaccard.TREES * jaccard.LONGEST) >= 0.8 - jaccard.SKETCH_SLACK).sum() >= 9_999
+
+
+def node(texts, tree=0, depth=jaccard.LONGEST):
+    values, sketches = signed(texts)
+    rows = [(i, values[i, tree].astype(">u2").tobytes(), sketches[i].tobytes(), depth) for i in range(len(texts))]
+    return jaccard.Node.of(rows, jaccard.TREES * jaccard.LONGEST)
+
+
+def test_trie_nodes_are_equal_prefixes():
+    rng = np.random.default_rng(2)
+    base = rng.integers(0, 1 << 63, 60).astype(np.uint64)
+    made = node([np.unique(np.where(rng.random(60) < 0.1, rng.integers(0, 1 << 63, 60).astype(np.uint64), base)) for _ in range(80)])
+    for depth in (1, 4, jaccard.LONGEST):
+        together = {}
+        for place, v in enumerate(made.values[:, :depth].tolist()):
+            together.setdefault(tuple(v), []).append(place)
+        assert made.runs(depth) == sorted((min(p), max(p) + 1) for p in together.values() if len(p) > 1)
+
+
+def test_prefixes_shorten_only_for_texts_that_need_it(spark):
+    """Texts whose links are close keep the longest prefix; those with farther links, and those without, get a shorter one."""
+    rng = np.random.default_rng(5)
+    close, far = (rng.integers(0, 1 << 63, 400).astype(np.uint64) for _ in range(2))
+    texts = [np.append(close, np.uint64(i)) for i in range(6)]
+    texts += [np.concatenate([far[:360], rng.integers(0, 1 << 63, 40).astype(np.uint64)]) for _ in range(6)]
+    values, sketches = signed(texts)
+    rows = [
+        (tree * 10 + (i > 5), 0, 0, i, values[i, tree].astype(">u2").tobytes(), sketches[i].tobytes(), jaccard.LONGEST)
+        for tree in range(jaccard.TREES) for i in range(len(texts))
+    ]
+    df = spark.createDataFrame([(n, a, b, i, bytearray(v), bytearray(k), d) for n, a, b, i, v, k, d in rows],
+                               "node long, first int, second int, rid long, values binary, sketch binary, depth long")
+    got = dict(map(tuple, jaccard.prefix_lengths(df, 6, jaccard.TREES, 0.8, jaccard.TARGET, jaccard.TREES * jaccard.LONGEST).collect()))
+    assert {got.get(i, 6) for i in range(6)} == {jaccard.LONGEST}
+    assert {got.get(i, 6) for i in range(6, 12)} <= {6, 7, 8}
+
+
+def brute_links(texts):
+    """Links of each text by whole comparison, on words cut another way."""
+    import re
+
+    sets = []
+    for t in texts:
+        ws = re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").encode().lower())
+        sets.append({tuple(ws[i : i + 5]) for i in range(max(1, len(ws) - 4))} if ws else set())
+    return [sum(1 for b, y in enumerate(sets) if a != b and x and y and 5 * len(x & y) >= 4 * len(x | y)) for a, x in enumerate(sets)]
+
+
+def test_links_of_near_copies_equal_brute_force(spark, monkeypatch):
+    """Texts of all similarities around the limit, in families; also where nodes are cut into blocks."""
+    rng = random.Random(8)
+    texts = []
+    for family in range(40):
+        base = [f"w{rng.randrange(5000)}" for _ in range(rng.choice([6, 12, 40, 120]))]
+        for _ in range(rng.randrange(1, 12)):
+            words = list(base)
+            for _ in range(rng.randrange(0, 3)):
+                words[rng.randrange(len(words))] = f"x{rng.randrange(10**6)}"
+            texts.append(" ".join(words))
+    texts += [None, "", "one two", "one two", "three"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = brute_links(texts)
+    for most in (jaccard.NODE_TEXTS, 3):
+        monkeypatch.setattr(jaccard, "NODE_TEXTS", most)
+        assert [r.n_links for r in jaccard.classes(df).orderBy("doc_id").collect()] == want
+
+
+def test_templated_pages_are_no_candidates(spark):
+    """Pages that share a third of their shingles: nearly none is compared with another."""
+    rng = random.Random(9)
+    frame = [f"t{i}" for i in range(60)]
+    pages = [" ".join(frame + [f"w{rng.randrange(10**6)}" for _ in range(60)]) for _ in range(3000)]
+    df = spark.createDataFrame(list(enumerate(pages)), "doc_id long, text string")
+    found = jaccard.signatures(df, ["doc_id"], "text", jaccard.TREES, 6)
+    texts = found.selectExpr("doc_id AS rid", "digest", "doc_id AS min_id", "keys")
+    groups = jaccard.candidate_groups(df, jaccard.materialise(texts, "texts"), jaccard.TREES, 6, 0.8, jaccard.TARGET)
+    assert groups.count() < 30
 
 
 def test_blocks_lose_no_link(spark, monkeypatch):
