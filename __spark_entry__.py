@@ -12,6 +12,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T  # noqa: E402
 
 from fixtures import derived, oracle  # noqa: E402
+from fixtures.workbooks import workbooks  # noqa: E402
 from fixtures.world import strict_contract, with_faults, with_gold_faults, world  # noqa: E402
 from reqlytics.functions.keys import quarter_code  # noqa: E402
 from reqlytics.operators import canonical, median, periods, quadrant  # noqa: E402
@@ -35,7 +36,7 @@ from reqlytics.plans.load import (  # noqa: E402
     read_dropped,
     read_manifest,
 )
-from reqlytics.sources.releases import map_headers, mapped_rows, read_release  # noqa: E402
+from reqlytics.sources.releases import map_headers, mapped_rows, read_release, workbook_release  # noqa: E402
 from reqlytics.sources.warehouse import Warehouse, run_query, scratch_root  # noqa: E402
 
 try:  # the training-data operators can be left out of a build
@@ -276,6 +277,20 @@ def s6_row_numbers(spark, sf):
     )
 
 
+def s1_workbooks(spark, sf):
+    """Every row of the workbooks of a release, as stored, with its number in the sheet; blank rows count."""
+    contract = derived.CONTRACT
+    release = workbook_release(workbooks(spark, sf), contract)
+    rows = mapped_rows(release, map_headers(release.headers, contract), contract)
+    return rows.where(F.coalesce(*contract.column_names).isNotNull())
+
+
+def c1_workbook_report(spark, sf):
+    """The validation report of the same workbooks."""
+    report = validation.validate_release(workbook_release(workbooks(spark, sf), derived.CONTRACT), derived.CONTRACT)
+    return report.select("source_path", "status", "data_rows", "layout_a", "layout_b", "invalid_status_in_layout_a", "invalid_repeat_flag")
+
+
 def s6_records_across_lines(spark, sf):
     """Releases whose cells hold line ends, read in many splits: every row as stored, with its number in the sheet."""
     w = world(spark, sf)
@@ -618,6 +633,8 @@ REGISTERED: dict[str, Query] = {
     "p37_period_labels_ar": over_rpt(kpis.period_labels, "ar"),
     "p41_placement": p41_placement,
     "p41_placed": p41_placed,
+    "s1_workbooks": s1_workbooks,
+    "c1_workbook_report": c1_workbook_report,
     "s4_file_sha256": s4_file_sha256,
     "s6_row_numbers": s6_row_numbers,
     "s6_records_across_lines": s6_records_across_lines,

@@ -102,13 +102,18 @@ def read_text_release(spark: SparkSession, path: str, contract: Contract = Contr
 
 
 def read_workbook_release(spark: SparkSession, path: str, contract: Contract = Contract()) -> Release:
-    """First sheet of every workbook, all cells as text, decoded once and written as rows."""
+    """First sheet of every workbook below a path."""
     files = (
         spark.read.format("binaryFile")
         .load(path)
         .where(is_workbook(F.col("_metadata.file_name")))
         .select(F.col("_metadata.file_path").alias("path"), "content")
     )
+    return workbook_release(files, contract)
+
+
+def workbook_release(files: DataFrame, contract: Contract = Contract()) -> Release:
+    """First sheet of every workbook of ``(path, content)``, all cells as text, decoded once and written as rows."""
     cloudpickle.register_pickle_by_value(workbook)  # executors need not have this package installed
     decoded = files.repartition("path").mapInPandas(
         workbook.decode, "source_path STRING, source_row_number LONG, cells ARRAY<STRING>"
