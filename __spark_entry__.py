@@ -239,12 +239,57 @@ def c3_silver_without_dropped(spark, sf):
     )
 
 
+def _written_lines(lines: DataFrame) -> str:
+    path = f"{scratch_root(lines.sparkSession)}/lines"
+    dealt = lines.repartition("release").sortWithinPartitions("release", "line")
+    dealt.select("release", "value").write.partitionBy("release").text(path)
+    return path
+
+
+def c1_empty_rows(spark, sf):
+    """Releases with rows of empty cells and repeated headers: each row is counted once, as what it is."""
+    report = validation.validate_files(spark, _written_lines(derived.sparse_lines(spark, sf)), derived.CONTRACT)
+    return report.select(
+        F.regexp_extract("source_path", r"release=([^/]+)", 1).cast("long").alias("release"),
+        "status", "rows_in_file", "empty_rows", "embedded_header_rows", "data_rows", "layout_a",
+    )
+
+
+def c1_missing_columns(spark, sf):
+    """Releases without a required column, with all that is said of them."""
+    report = validation.validate_files(spark, _written_lines(derived.faulty_lines(spark, sf)), derived.CONTRACT)
+    release = F.regexp_extract("source_path", r"release=([^/]+)", 1).cast("long").alias("release")
+    return report.where("status = 'fail' AND size(errors) = 2").select(release, F.array_join("errors", "; ").alias("errors"))
+
+
+def c2_refused_load(spark, sf):
+    """One failing file stops a load before anything is written or logged."""
+    warehouse = Warehouse(spark, scratch_root(spark))
+    try:
+        load_release(warehouse, _written_lines(derived.faulty_lines(spark, sf)), "1998Q1", derived.CONTRACT)
+        outcome = "loaded"
+    except ReleaseRejected as problem:
+        outcome = " ".join(str(problem).split()[:6])
+    stored = read_bronze(warehouse, derived.CONTRACT).agg(F.count(F.lit(1)).alias("n_rows"))
+    n_entries, n_files = len(bronze_table(warehouse).entries()), read_manifest(warehouse).count()
+    return stored.select("n_rows", F.lit(outcome).alias("outcome"), F.lit(n_entries).alias("n_entries"), F.lit(n_files).alias("n_files"))
+
+
+def s7_lineage(spark, sf):
+    """The file, content, batch and time that Bronze names for its rows."""
+    w = world(spark, sf)
+    batch, at = w.manifest.select("batch_id", F.to_timestamp("ingested_at").alias("at")).first()
+    return w.loaded.groupBy("source_quarter", "file_sha256").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.min("source_row_number").alias("first_row"),
+        F.bool_and((F.col("batch_id") == batch) & (F.col("ingested_at") == F.lit(at))).alias("is_this_load"),
+        F.bool_and(F.col("source_file").rlike(r"^part-[^/]+\.txt$")).alias("is_named"),
+    )
+
+
 def c1_validation_failures(spark, sf):
     """Releases with a fault each: what cannot be read in full is refused, with its reasons."""
-    path = f"{scratch_root(spark)}/faulty"
-    lines = derived.faulty_lines(spark, sf).repartition("release").sortWithinPartitions("release", "line")
-    lines.select("release", "value").write.partitionBy("release").text(path)
-    report = validation.validate_files(spark, path, world(spark, sf).contract)
+    report = validation.validate_files(spark, _written_lines(derived.faulty_lines(spark, sf)), world(spark, sf).contract)
     return report.select(
         F.regexp_extract("source_path", r"release=([^/]+)", 1).cast("long").alias("release"),
         "status",
@@ -595,6 +640,10 @@ REGISTERED: dict[str, Query] = {
     "c1_validation_report": c1_validation_report,
     "c1_validation_warnings": c1_validation_warnings,
     "c1_validation_failures": c1_validation_failures,
+    "c1_empty_rows": c1_empty_rows,
+    "c1_missing_columns": c1_missing_columns,
+    "c2_refused_load": c2_refused_load,
+    "s7_lineage": s7_lineage,
     "c1_validation_rows": c1_validation_rows,
     "c1_validation_strict": c1_validation_strict,
     "c2_bronze_lineage": c2_bronze_lineage,

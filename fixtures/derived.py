@@ -215,6 +215,20 @@ def faulty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return titles.unionByName(headers).unionByName(data)
 
 
+def sparse_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(release, line, value)`` of a release per nation with a line per customer: each fifth is empty cells, each seventh
+    of the others repeats the header."""
+    key = F.col("c_custkey")
+    header = ",".join(HEADERS)
+    value = F.when(key % 5 == 0, ",,,,,").when(key % 7 == 0, header).otherwise(
+        F.concat(F.lit("Lamp,place "), "c_nationkey", F.lit(",done,"), (key % 90).cast("string"), F.lit(",1998-01-01,repeated"))
+    )
+    rows = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("release"), key.alias("line"), value.alias("value"))
+    top = rows.select("release").distinct()
+    titles = top.select("release", F.lit(-2).alias("line"), F.lit("requests").alias("value"))
+    return rows.unionByName(titles).unionByName(top.select("release", F.lit(-1).alias("line"), F.lit(header).alias("value")))
+
+
 def with_line_ends(rows: DataFrame) -> DataFrame:
     """Bronze rows whose places and flags hold line ends, quotes and commas in some requests."""
     row = F.col("source_row_number")
