@@ -13,7 +13,7 @@ import sys
 from pyspark.sql import SparkSession, functions as F
 
 from reqlytics.contract import MIN_REQUESTS, Contract, load_contract
-from reqlytics.plans.load import ReleaseRejected, load_release, read_bronze
+from reqlytics.plans.load import ReleaseRejected, bronze_table, load_release, read_bronze
 from reqlytics.plans.medallion import Medallion
 from reqlytics.plans.quality import QualityGate
 from reqlytics.plans.validation import failing_files, failure_message, validate_files
@@ -38,6 +38,7 @@ def parser() -> argparse.ArgumentParser:
     build.add_argument("--issue-map", required=True)
     build.add_argument("--location-map", required=True)
     build.add_argument("--min-requests", type=int, default=MIN_REQUESTS)
+    build.add_argument("--changed-only", action="store_true", help="build only quarters that were loaded since the last such build")
     return top
 
 
@@ -77,7 +78,8 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
             contract,
             chosen.min_requests,
         )
-        for row in medallion.run():
+        rows = medallion.refresh(bronze_table(warehouse).current()) if chosen.changed_only else medallion.run()
+        for row in rows:
             print(f"{row['status']:<6}{row['failures']:>10}  {row['check_name']}")
         return 0
     except (ReleaseRejected, QualityGate) as problem:

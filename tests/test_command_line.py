@@ -34,9 +34,12 @@ def test_validate_load_build(spark, tmp_path):
     assert main(["load", str(bad), "2026Q3", "--root", root], spark) == 1
     build = ["build", "--root", root, "--issue-map", issues, "--location-map", places, "--min-requests", "1"]
     assert main(build, spark) == 0
+    assert main([*build, "--changed-only"], spark) == 0
+    assert main([*build, "--changed-only"], spark) == 0  # nothing to do
     mart = {r["issue_quarter_key"]: r for r in spark.read.parquet(f"{root}/gold/issue_performance").collect()}
     assert set(mart) == {"2026Q1-I1", "2026Q2-I2"}
     assert mart["2026Q1-I1"]["median_closure_hours"] == 7.0 and mart["2026Q1-I1"]["total_requests"] == 2
     # a release in the wrong quarter passes the contract and stops at the layer checks
     assert main(["load", str(q2), "2026Q4", "--root", root], spark) == 0
+    assert main([*build, "--changed-only"], spark) == 1
     assert main(build, spark) == 1
