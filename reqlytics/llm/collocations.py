@@ -9,7 +9,8 @@ occurs at least 0.8 times as often is dropped.
    first) and writes the numbers, and each word once with its count.
 2. *Words.* Counts are added up over all shards. Words below ``least`` cannot be in a phrase; all others get an id,
    unique over all languages. Each shard is given the ids of its own words only: no vocabulary is broadcast.
-3. *Filters.* A shard's n-grams, four ids of b bits with 0 for none, are packed into two halves and permuted by a Feistel
+3. *Filters.* First pairs are counted, then runs of 3 and 4 whose pairs all occur often enough (a bit table of bounded size
+   tells; it may let others through, which are then counted for nothing). A shard's n-grams, four ids of b bits with 0 for none, are packed into two halves and permuted by a Feistel
    network, which can be undone. The upper bits are a quotient, all others the remainder, kept in full: a
    counting quotient filter (:class:`Filter`) of runs of remainders per quotient with counters in further slots, without
    loss. A filter covers a range of quotients, so equal n-grams of all shards come to one task.
@@ -38,6 +39,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from reqlytics.llm.common import mapped, materialise
 from reqlytics.llm.scan import mix
 from reqlytics.operators.joins import lookup_join
+from reqlytics.sources.warehouse import materialise_counted
 
 LONGEST = 4
 LEAST = 30
@@ -46,7 +48,7 @@ SCALE = 2_000_000
 #: Percent of a phrase's count that a longer one needs to replace it.
 COVERED = 80
 SHARD_WORDS = 1 << 20
-#: N-grams that a range of quotients is meant to hold before it is merged.
+#: N-grams that a range of quotients is meant to hold as they come.
 RANGE = 1 << 20
 ROUNDS = 3
 SALTS = 16
@@ -294,65 +296,110 @@ class Filter:
         return cls(bits, skip, left, _from_bytes(slots[at, wide:]), counts)
 
 
-def grams(ids: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Every run of 2 to 4 ids without a 0, packed in two halves of two ids each."""
-    wide = np.uint64(bits)
-    left, right = [], []
+class Pairs:
+    """A bit table of the pairs that occur often enough: all of them, and a few that share a bit.
+
+    A longer phrase cannot occur more often than the pairs in it, so n-grams with another pair need not be counted.
+    The table has at most ``MOST`` bits, whatever the number of pairs; with more pairs it only turns fewer n-grams away.
+    """
+
+    LEAST, MOST = 15, 28
+
+    def __init__(self, bits: int, held: np.ndarray):
+        self.bits, self.held = bits, held
+
+    @staticmethod
+    def place(first: np.ndarray, bits: int) -> np.ndarray:
+        return mix(first + np.uint64(1)) & np.uint64((1 << bits) - 1)
+
+    @classmethod
+    def of(cls, pairs: DataFrame, n: int, bits: int) -> Pairs:
+        size = min(cls.MOST, max(cls.LEAST, (16 * n).bit_length()))
+        schema = T.StructType([T.StructField("place", T.LongType())])
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                one, two = (batch.column(k).to_numpy(zero_copy_only=False).astype(np.uint64) for k in (0, 1))
+                place = cls.place((one << np.uint64(bits)) | two, size)
+                yield pa.RecordBatch.from_arrays([pa.array(place.astype(np.int64) + 1)], names=schema.names)
+
+        places = mapped(pairs.select("w1", "w2"), run, schema)
+        parts = places.groupBy(F.bitmap_bucket_number("place").alias("part")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("held")
+        )
+        table = np.zeros(1 << (size - 3), np.uint8)
+        for row in parts.collect():  # 4 KB each, 32 MB at most
+            first = (row["part"] - 1) << 12
+            table[first : first + 4096] = np.frombuffer(row["held"], np.uint8)
+        return cls(size, table)
+
+    def hold(self, first: np.ndarray) -> np.ndarray:
+        at = self.place(first, self.bits)
+        return (self.held[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def grams(ids: np.ndarray, bits: int, pairs: Pairs | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of ids without a 0, packed in two halves of two ids each: every pair, or the runs of 3 and 4 of known ``pairs``."""
+    wide, n = np.uint64(bits), len(ids)
     words = np.append(ids, [0] * LONGEST).astype(np.uint64)
-    n = len(ids)
-    whole = np.flatnonzero((words[:n] > 0) & (words[1 : n + 1] > 0))
-    first = (words[whole] << wide) | words[whole + 1]
-    left.append(first)
-    right.append(np.zeros(len(whole), np.uint64))
-    inside = words[whole + 2] > 0
-    whole, first = whole[inside], first[inside]
-    left.append(first)
-    right.append(words[whole + 2] << wide)
-    inside = words[whole + 3] > 0
-    whole, first = whole[inside], first[inside]
-    left.append(first)
-    right.append((words[whole + 2] << wide) | words[whole + 3])
-    return np.concatenate(left), np.concatenate(right)
-
-
-def filters(encoded: DataFrame, ids: DataFrame, bits: int, parts: int) -> DataFrame:
-    """``range`` and ``held``: a filter per shard, language and range of quotients."""
+    whole = (words[:-1] > 0) & (words[1:] > 0)
+    first = (words[:-1] << wide) | words[1:]
+    if pairs is None:
+        at = np.flatnonzero(whole[:n])
+        return first[at], np.zeros(len(at), np.uint64)
+    whole[whole] = pairs.hold(first[whole])
+    three = np.flatnonzero(whole[:n] & whole[1 : n + 1])
+    four = three[whole[three + 2]]
+    left = np.concatenate([first[three], first[four]])
+    right = np.concatenate([words[three + 2] << wide, (words[four + 2] << wide) | words[four + 3]])
+    return left, right
+
+
+def dealt_texts(encoded: DataFrame, ids: DataFrame) -> DataFrame:
+    """``number``, ``id`` of the words of a shard and language, then its ``texts``: shards go to tasks, a few to each."""
+    texts = encoded.where("number = 0").select("shard", "lang", "number", F.lit(0).cast("long").alias("id"), "texts")
+    words = ids.select("shard", "lang", "number", "id", F.lit(None).cast("binary").alias("texts"))
+    both = words.unionByName(texts).repartition(max(1, texts.count() // 4), "shard", "lang")
+    return both.sortWithinPartitions("shard", "lang", F.desc("number")).select("number", "id", "texts")
+
+
+def in_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """The words of each shard and language as ids, 0 for those that are too rare and between pieces."""
+    places: list[np.ndarray] = []
+    known: list[np.ndarray] = []
+    for batch in batches:
+        number, given = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        last = 0
+        for at in np.flatnonzero(number == 0).tolist():  # after the words of its shard and language
+            place, mine = np.concatenate([*places, number[last:at]]), np.concatenate([*known, given[last:at]])
+            places, known, last = [], [], at + 1
+            words = from_planes(batch.column(2)[at].as_py())
+            names = np.zeros(int(max(words.max(initial=0), place.max(initial=0))) + 1, np.int64)
+            names[place] = mine
+            yield names[words]
+        places.append(number[last:])
+        known.append(given[last:])
+
+
+def filters(texts: DataFrame, bits: int, parts: int, pairs=None) -> DataFrame:
+    """``range`` and ``held``: a filter per shard, language and range of quotients; ``pairs`` is a broadcast table."""
     schema = T.StructType([T.StructField("range", T.LongType()), T.StructField("held", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places: list[np.ndarray] = []
-        known: list[np.ndarray] = []
-        for batch in batches:
-            number, given = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            last = 0
-            for at in np.flatnonzero(number == 0).tolist():  # after the words of its shard and language
-                places.append(number[last:at])
-                known.append(given[last:at])
-                last = at + 1
-                place, mine = np.concatenate(places), np.concatenate(known)
-                places, known = [], []
-                words = from_planes(batch.column(2)[at].as_py())
-                names = np.zeros(int(max(words.max(initial=0), place.max(initial=0))) + 1, np.int64)
-                names[place] = mine
-                left, right = grams(names[words], bits)
-                del words, names
-                if not len(left):
-                    continue
-                made = list(Filter.of(2 * bits, 0, *permuted(left, right, 2 * bits)).ranges(parts))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k for k, _ in made], pa.int64()), pa.array([f.to_bytes() for _, f in made], pa.binary())],
-                    names=schema.names,
-                )
-                del left, right, made
-            places.append(number[last:])
-            known.append(given[last:])
+        known = None if pairs is None else pairs.value
+        for words in in_ids(batches):
+            left, right = grams(words, bits, known)
+            if not len(left):
+                continue
+            made = list(Filter.of(2 * bits, 0, *permuted(left, right, 2 * bits)).ranges(parts))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k for k, _ in made], pa.int64()), pa.array([f.to_bytes() for _, f in made], pa.binary())],
+                names=schema.names,
+            )
+            del words, left, right, made
         pa.default_memory_pool().release_unused()
 
-    texts = encoded.where("number = 0").select("shard", "lang", "number", F.lit(0).cast("long").alias("id"), "texts")
-    words = ids.select("shard", "lang", "number", "id", F.lit(None).cast("binary").alias("texts"))
-    both = words.unionByName(texts).repartition("shard", "lang")
-    dealt = both.sortWithinPartitions("shard", "lang", F.desc("number"))
-    return mapped(dealt.select("number", "id", "texts"), run, schema)
+    return mapped(texts, run, schema)
 
 
 def phrases(made: DataFrame, bits: int, parts: int, least: int) -> DataFrame:
@@ -452,12 +499,19 @@ def mined(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFrame:
     words = materialise(numbered(counts.where(F.col("f") >= least)), "vocabulary")
     size, spoken = words.agg(F.max("id"), F.sum("f")).first()
     bits = max(2, int(size or 0).bit_length())
-    parts = min(bits, max(3, (3 * int(spoken or 0) // (2 * RANGE)).bit_length()))
     ids = encoded.where("number > 0").select("shard", "lang", "word", "number")
     ids = ids.join(words.select("lang", "word", "id"), ["lang", "word"]).select("shard", "lang", "number", "id")
-    found = phrases(filters(encoded, ids, bits, parts), bits, parts, least)
+    texts = dealt_texts(encoded, materialise(ids, "ids"))
+
+    def counted(occurrences: int, known=None) -> tuple[DataFrame, int]:
+        parts = min(bits, max(3, (occurrences // RANGE).bit_length()))
+        return materialise_counted(phrases(filters(texts, bits, parts, known), bits, parts, least), "phrases")
+
+    pairs, n = counted(int(spoken or 0))
+    known = docs.sparkSession.sparkContext.broadcast(Pairs.of(pairs, n, bits))
+    longer, _ = counted(2 * int(pairs.agg(F.sum("a")).first()[0] or 0), known)
     length = F.lit(2) + (F.col("w3") > 0).cast("int") + (F.col("w4") > 0).cast("int")
-    found = materialise(found.withColumn("size", length), "phrases")
+    found = pairs.unionByName(longer).withColumn("size", length)
 
     left = standing(found, scored(found, words))
     langs = words.select(F.col("id").alias("w1"), "lang")
