@@ -339,12 +339,7 @@ def c1_workbook_report(spark, sf):
 def s6_records_across_lines(spark, sf):
     """Releases whose cells hold line ends, read in many splits: every row as stored, with its number in the sheet."""
     w = world(spark, sf)
-    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")  # small files here: a release is cut all the same
-    try:
-        release = read_release(spark, w.spanning_releases, w.contract)
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    release = read_release(spark, w.spanning_releases, w.contract, "64k")  # small files here: a release is cut all the same
     rows = mapped_rows(release, map_headers(release.headers, w.contract), w.contract)
     return rows.withColumn("source_path", w.release_of(F.col("source_path")))
 

@@ -22,6 +22,7 @@ from reqlytics.sources.warehouse import materialise
 
 #: Characters of a record over several lines, which one task holds. A longer one is an unmatched quote.
 LONGEST_RECORD = 1 << 24
+SPLIT_SIZE = "spark.sql.files.maxPartitionBytes"
 
 
 @dataclass(frozen=True)
@@ -32,23 +33,33 @@ class Records:
     broken: DataFrame
 
 
-def tagged_lines(spark: SparkSession, path: str | list[str], chosen, line_end: str | None = None) -> DataFrame:
+def tagged_lines(
+    spark: SparkSession, path: str | list[str], chosen, line_end: str | None = None, split_bytes: str | None = None
+) -> DataFrame:
     """Lines with the split they were read from, written once: how Spark cuts files depends on the cores at hand, which
-    change as executors come and go, and every later step must see the same splits."""
+    change as executors come and go, and every later step must see the same splits.
+
+    ``split_bytes`` cuts files finer than the session does. There are as many tasks all the same, each with several splits:
+    what tasks report to the driver grows with their number.
+    """
     reader = spark.read if line_end is None else spark.read.option("lineSep", line_end)
     quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"')))
-    return materialise(
-        reader.text(path)
-        .where(chosen)
-        .select(
-            F.col("_metadata.file_path").alias("source_path"),
-            F.col("_metadata.file_block_start").alias("_block"),
-            F.monotonically_increasing_id().alias("_id"),
-            (quotes % 2).cast("byte").alias("_odd"),
-            "value",
-        ),
-        "lines",
+    text = reader.text(path)
+    lines = text.where(chosen).select(
+        F.col("_metadata.file_path").alias("source_path"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_id"),
+        (quotes % 2).cast("byte").alias("_odd"),
+        "value",
     )
+    if split_bytes is None:
+        return materialise(lines, "lines")
+    tasks, size = text.rdd.getNumPartitions(), spark.conf.get(SPLIT_SIZE)
+    spark.conf.set(SPLIT_SIZE, split_bytes)
+    try:
+        return materialise(lines.coalesce(max(tasks, 1)), "lines")
+    finally:
+        spark.conf.set(SPLIT_SIZE, size)
 
 
 def _before(column: str):
@@ -82,9 +93,11 @@ def plain_numbers(lines: DataFrame, splits: DataFrame) -> DataFrame:
     )
 
 
-def read_records(spark: SparkSession, path: str | list[str], chosen, longest: int = LONGEST_RECORD) -> Records:
+def read_records(
+    spark: SparkSession, path: str | list[str], chosen, longest: int = LONGEST_RECORD, split_bytes: str | None = None
+) -> Records:
     """Records of all text files that meet the condition ``chosen`` on their metadata."""
-    lines = tagged_lines(spark, path, chosen)
+    lines = tagged_lines(spark, path, chosen, split_bytes=split_bytes)
     splits = materialise(split_summary(lines), "splits")
     plain = plain_numbers(lines, splits.where("NOT _spans"))
     spanning = splits.where("_spans")

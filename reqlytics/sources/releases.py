@@ -76,9 +76,11 @@ def _cells(value: Column, width: int) -> Column:
     return F.array(*[record.getField(f"c{i}") for i in range(width)])
 
 
-def read_text_release(spark: SparkSession, path: str, contract: Contract = Contract()) -> Release:
+def read_text_release(
+    spark: SparkSession, path: str, contract: Contract = Contract(), split_bytes: str | None = None
+) -> Release:
     """Records of all text files; a row number counts records, so a cell with line ends takes one, as in a sheet."""
-    records = read_records(spark, path, ~is_workbook(F.col("_metadata.file_name")))
+    records = read_records(spark, path, ~is_workbook(F.col("_metadata.file_name")), split_bytes=split_bytes)
     lines = records.rows
     header_number = contract.header_row + 1
     headers = materialise(
@@ -130,15 +132,21 @@ def workbook_release(files: DataFrame, contract: Contract = Contract()) -> Relea
     return Release(rows.where(F.col("source_row_number") > header_number), headers, shapes)
 
 
-def read_release(spark: SparkSession, path: str | list[str], contract: Contract = Contract()) -> Release:
+def read_release(
+    spark: SparkSession, path: str | list[str], contract: Contract = Contract(), split_bytes: str | None = None
+) -> Release:
     """Files of either format, told apart one by one by their ending, in any letter case.
 
-    Files that have no rows, or too few for a header, are in ``shapes`` all the same.
+    Files that have no rows, or too few for a header, are in ``shapes`` all the same. Text is cut into splits of
+    ``split_bytes``, or of the session's size.
     """
     files = materialise(listed_files(spark, path), "files")
     kinds = {r["is_book"] for r in files.select("is_book").distinct().collect()}
-    readers = [read_text_release] * (False in kinds) + [read_workbook_release] * (True in kinds)
-    parts = [reader(spark, path, contract) for reader in readers]
+    parts = []
+    if False in kinds:
+        parts.append(read_text_release(spark, path, contract, split_bytes))
+    if True in kinds:
+        parts.append(read_workbook_release(spark, path, contract))
     rows, headers, shapes = (
         reduce(DataFrame.unionByName, [getattr(p, name) for p in parts]) for name in ("rows", "headers", "shapes")
     )

@@ -343,6 +343,27 @@ def test_records_over_lines_and_splits(spark, tmp_path, split):
     assert all(r.broken is None for r in release.shapes.collect())
 
 
+def test_fine_splits_take_no_more_tasks(spark, tmp_path):
+    """What tasks report to the driver grows with their number: a task reads many splits, and later steps read no splits at all."""
+    rows = random_release(7, 400)
+    (tmp_path / "r.csv").write_bytes(as_text(rows))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    context = spark.sparkContext
+    try:
+        context.setJobGroup("fine splits", "")
+        release = releases.read_release(spark, str(tmp_path), split_bytes="256")
+        got = {r.source_row_number: [c or "" for c in r.cells] for r in release.rows.collect()}
+        tracker = context.statusTracker()
+        stages = {s for job in tracker.getJobIdsForGroup("fine splits") for s in tracker.getJobInfo(job).stageIds}
+        tasks = max(info.numTasks for info in map(tracker.getStageInfo, stages) if info)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    lines = records.tagged_lines(spark, str(tmp_path), F.lit(True), split_bytes="256")
+    assert got == {i: r for i, r in enumerate(rows, 1) if i > 2}
+    assert lines.select("_block").distinct().count() > 100 > 20 > tasks
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == size
+
+
 def test_line_ends_of_windows_and_long_records(spark, tmp_path):
     text = as_text([["t"], HEADERS, [ROW_A[0], "one\ntwo", *ROW_A[2:]], ROW_A]).replace(b"\n", b"\r\n")
     (tmp_path / "w.csv").write_bytes(text)
