@@ -9,6 +9,8 @@ from typing import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from reqlytics.session import SETTINGS
+
 # Default layer -> folder names. A custom name is used exactly as given.
 LAYERS = {"bronze": "bronze", "silver": "silver", "gold": "gold", "seeds": "silver", "manifests": "manifests"}
 
@@ -88,14 +90,25 @@ class RowCounts:
         return told["all"], found
 
 
+#: Partitions a task writes side by side. Without it a task holds and sorts all its rows, wide as they are, before it writes them.
+OPEN_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+
+
 @dataclass
 class Warehouse:
-    """Parquet tables below one root. Writing a table replaces it (full rebuild)."""
+    """Parquet tables below one root. Writing a table replaces it (full rebuild).
+
+    A session that does not say how many partitions a task writes side by side gets the library's own number.
+    """
 
     spark: SparkSession
     root: str
     layers: Mapping[str, str] = field(default_factory=lambda: dict(LAYERS))
 
+    def __post_init__(self) -> None:
+        if self.spark.conf.get(OPEN_WRITERS, None) is None:
+            self.spark.conf.set(OPEN_WRITERS, SETTINGS[OPEN_WRITERS])
+
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{self.layers.get(layer, layer).strip()}/{table}"
 

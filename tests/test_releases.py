@@ -500,3 +500,25 @@ def test_reactions(spark, tmp_path):
         load_release(warehouse, str(tmp_path / "a.csv"), "2026Q1", reacting("fail"))
     load_release(warehouse, str(tmp_path / "a.csv"), "2026Q1", reacting("warn"))
     assert read_dropped(warehouse).count() == 0
+
+
+def test_partitioned_writes_do_not_sort(spark, tmp_path):
+    """A session with no setting of its own: a task must not hold all its rows to sort them by partition."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    own = spark.conf.get(name)
+    rows = spark.range(0, 90, 1, 2).select("id", F.concat(F.lit("q"), F.col("id") % 9).alias("q"))
+    expected = sorted((i, f"q{i % 9}") for i in range(90))
+    spark.sql(f"CREATE TABLE kept (id long, q string) USING parquet PARTITIONED BY (q) LOCATION '{tmp_path}/kept'")
+    try:
+        spark.conf.unset(name)
+        warehouse = Warehouse(spark, str(tmp_path / "a"))
+        rows.createOrReplaceTempView("some_rows")
+        assert "Sort" not in spark.sql("EXPLAIN INSERT INTO kept SELECT * FROM some_rows").first()[0]
+        assert sorted(map(tuple, warehouse.write(rows, "gold", "t", ["q"]).collect())) == expected
+        spark.conf.set(name, "3")  # fewer than there are partitions; a session's own value stays
+        fewer = Warehouse(spark, str(tmp_path / "b"))
+        assert spark.conf.get(name) == "3"
+        assert sorted(map(tuple, fewer.write(rows, "gold", "t", ["q"]).collect())) == expected
+    finally:
+        spark.conf.set(name, own)
+        spark.sql("DROP TABLE kept")
