@@ -62,7 +62,7 @@ def term_counts(docs: DataFrame) -> DataFrame:
                     pa.array([source] * size, pa.string()),
                     pa.array(list(found), pa.binary()).cast(pa.string()),
                     pa.array(list(found.values()), pa.int64()),
-                    pa.array([holders[t] for t in found], pa.int64()),
+                    pa.array(list(holders.values()), pa.int64()),
                 ],
                 names=schema.names,
             )
@@ -74,10 +74,10 @@ def term_counts(docs: DataFrame) -> DataFrame:
             texts = batch.column(2).cast(pa.large_binary())
             for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts):
                 found, holders = groups.setdefault((lang, source), (Counter(), Counter()))
-                once = Counter(text.as_py().translate(_LETTERS).split())
+                words = text.as_py().translate(_LETTERS).split()
                 held -= len(found)
-                found.update(once)
-                holders.update(once.keys())
+                found.update(words)
+                holders.update(dict.fromkeys(words).keys())  # in order, so that both counters have their terms in one order
                 held += len(found)
                 if held >= COUNTED_AT_ONCE:
                     yield from told(groups)
@@ -85,7 +85,9 @@ def term_counts(docs: DataFrame) -> DataFrame:
         yield from told(groups)
 
     plain = [F.coalesce(docs[f"`{c}`"].cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")]
-    counted = mapped(docs.select(*plain), run, schema)
+    # by term alone, so that the sources of a term meet without a second shuffle; adding up in the task before it costs more
+    # than the third of the rows that it saves
+    counted = mapped(docs.select(*plain), run, schema).repartition("lang", "term")
     return counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("rows").alias("rows"))
 
 
@@ -184,7 +186,7 @@ def pair_corrections(rows: DataFrame) -> DataFrame:
 def audit(docs: DataFrame, least: int = LEAST_ROWS, top: int = TOP_TERMS) -> DataFrame:
     """``docs`` (text, lang, source): part ``pair`` ranks the other sources of the language by distance, part
     ``term`` the ``top`` terms that a source says more often than its language."""
-    counts = materialise(term_counts(docs), "term_counts")
+    counts = term_counts(docs)
     named = [F.coalesce(docs[f"`{c}`"].cast("string"), F.lit("")).alias(c) for c in ("lang", "source")]
     groups = docs.select(*named).groupBy("lang", "source").agg(F.count(F.lit(1)).alias("rows")).drop("rows")
 

@@ -157,6 +157,12 @@ def test_divergence_equals_sql(spark, monkeypatch, seed):
     assert got(found) == sql("op12_source_divergence", rows + rows[:30])
 
 
+def test_terms_are_shuffled_once(spark):
+    counts = divergence.term_counts(spark.createDataFrame(small_corpus(3), COLUMNS))
+    terms = counts.groupBy("lang", "term").agg(F.sum("rows").alias("rows"))
+    assert terms._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
 def test_divergence_odd_rows(spark, odd, clashing, empty):
     assert got(divergence.audit(clashing)) == sql("op12_source_divergence", odd.collect())
     assert divergence.audit(empty).count() == 0
